@@ -1,4 +1,4 @@
-"""Pearson correlation of column pairs in a single aggregate."""
+"""Pearson correlation of column pairs in a single pass."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekgrid.functions.columns import ratio
-from weekgrid.functions.longform import melt_row
 
 
 def pearson(a: Column, b: Column) -> Column:
@@ -21,25 +20,40 @@ def pearson(a: Column, b: Column) -> Column:
 
 
 def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(a, b, score) for every unordered pair of columns, one pass over the rows."""
+    """(a, b, score) for every unordered pair of columns, one pass over the rows.
+
+    A row unfolds into its column pairs, which the partial aggregate absorbs at
+    once. One wide aggregate of all pairs would outgrow the size of a compiled
+    method from a few columns on and fall back to interpretation.
+    """
     pairs = list(combinations(columns, 2))
-    row = df.agg(
-        *[
-            pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
     cells = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("score"))
+        F.struct(
+            F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
+        )
         for i, (a, b) in enumerate(pairs)
     ]
-    return row.select(F.inline(F.array(*cells)))
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    scores = (
+        df.select(F.inline(F.array(*cells)))
+        .groupBy("pair")
+        .agg(pearson(F.col("x"), F.col("y")).alias("score"))
+    )
+    return scores.select(names[F.col("pair")]["a"].alias("a"), names[F.col("pair")]["b"].alias("b"), "score")
 
 
 def target_correlations(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
     """(column, score) of every column against one target, strongest first."""
-    row = df.agg(
-        *[pearson(F.col(target).cast("double"), F.col(c).cast("double")).alias(c) for c in columns]
+    cells = [
+        F.struct(F.lit(i).alias("place"), F.col(c).cast("double").alias("x"))
+        for i, c in enumerate(columns)
+    ]
+    names = F.array(*map(F.lit, columns))
+    scores = (
+        df.select(F.col(target).cast("double").alias("y"), F.inline(F.array(*cells)))
+        .groupBy("place")
+        .agg(pearson(F.col("y"), F.col("x")).alias("score"))
+    )
+    return scores.select(names[F.col("place")].alias("column"), "score").orderBy(
+        F.desc_nulls_last("score"), "column"
     )
-    long = melt_row(row, {c: [F.col(c)] for c in columns}, ["column", "score"])
-    return long.orderBy(F.desc_nulls_last("score"), "column")

@@ -23,7 +23,8 @@ def quantiles(
     mergeable sketch first brackets each wanted rank between two values, then a
     second pass counts what lies below the bracket and sorts only what lies
     inside it, about 4/accuracy of the group; equal values are counted before
-    they are shuffled. A group no larger than ``accuracy`` is its own bracket.
+    they are shuffled, and a column is never a shuffle key of its raw rows
+    (with ``by`` the planner sizes that join, and skewed groups are split). A group no larger than ``accuracy`` is its own bracket.
     If a bracket ever misses its rank the query fails instead of being wrong.
     """
     by = list(by or [])
@@ -49,6 +50,8 @@ def quantiles(
             )
         )
     targets = sketch.select(*keys, F.array(*cells).alias("targets"))
+    if not by:
+        targets = F.broadcast(targets)  # one row per column
     hits = (
         values.join(targets, keys)
         .select(*keys, "value", F.inline("targets"))

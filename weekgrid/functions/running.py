@@ -6,20 +6,33 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def running_totals(
-    df: DataFrame, by: list[str], order: str, measures: list[str], buckets: int = 256
+    df: DataFrame, by: list[str], order: str, measures: list[str], fan: int = 32
 ) -> DataFrame:
     """Adds ``<measure>_upto`` and ``next_value`` within each ``by`` group.
 
     Expects one row per group and ``order`` value. A window over a whole group
-    would put it into one task; here a sketch cuts the group into ranges of
-    similar size, totals per range are accumulated over at most ``buckets``
-    rows, and the window runs inside a range.
+    would put it into one task; here a sketch cuts the group into ``fan`` squared
+    ranges of similar size, totals per range are accumulated over at most that
+    many rows, and the window runs inside a range. A row finds its range in two
+    steps of ``fan`` comparisons. Groups must be few (columns of a table): their
+    range edges and totals, ``fan`` squared numbers each, are broadcast.
     """
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = df.groupBy(*by).agg(F.percentile_approx(order, cuts, 40 * buckets).alias("edges"))
-    placed = df.join(edges, by).withColumn(
-        "bucket", F.size(F.filter("edges", lambda e: e < F.col(order)))
-    ).drop("edges")
+    buckets = fan * fan
+    cuts = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketch = f"percentile_approx({order}, array({cuts}), {4 * buckets})"
+    edges = df.groupBy(*by).agg(F.expr(sketch).alias("edges"))
+    # edges closing each coarse range
+    coarse_edges = edges.withColumn(
+        "coarse", F.filter("edges", lambda _, i: (i + 1) % fan == 0)
+    )
+    value = F.col(order)
+    placed = (
+        df.join(F.broadcast(coarse_edges), by)
+        .withColumn("_c", F.size(F.filter("coarse", lambda e: e < value)))
+        .withColumn("_part", F.slice("edges", F.col("_c") * fan + 1, F.lit(fan - 1)))
+        .withColumn("bucket", F.col("_c") * fan + F.size(F.filter("_part", lambda e: e < value)))
+        .drop("edges", "coarse", "_c", "_part")
+    )
     sums = placed.groupBy(*by, "bucket").agg(
         F.min(order).alias("_first"), *[F.sum(m).alias(m) for m in measures]
     )
@@ -33,7 +46,7 @@ def running_totals(
     )
     inside = Window.partitionBy(*by, "bucket").orderBy(order)
     return (
-        placed.join(offsets, [*by, "bucket"])
+        placed.join(F.broadcast(offsets), [*by, "bucket"])
         .withColumns(
             {
                 **{f"{m}_upto": F.col(f"_{m}_before") + F.sum(m).over(inside) for m in measures},

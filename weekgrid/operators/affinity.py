@@ -95,11 +95,11 @@ def pair_scores(resid: DataFrame) -> DataFrame:
     )
     # a pair that never shares a basket still has a score: its product sum is zero
     depts = per_dept.agg(F.collect_list("dept")).scalar()
-    left = per_dept.select(
+    left = per_dept.withColumn("depts", depts).select(
         F.col("dept").alias("a"),
         F.col("s").alias("sa"),
         F.col("ss").alias("ssa"),
-        F.explode(F.filter(depts, lambda d: d > F.col("dept"))).alias("b"),
+        F.explode(F.filter("depts", lambda d: d > F.col("dept"))).alias("b"),
     )
     right = per_dept.select(F.col("dept").alias("b"), F.col("s").alias("sb"), F.col("ss").alias("ssb"))
     scored = (

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weekgrid.functions.columns import ratio, zero_if_null
 from weekgrid.functions.longform import melt
 from weekgrid.functions.running import running_totals
+from weekgrid.session import stored
 
 THRESHOLD = 0.1
 FEW_VALUES = 5
@@ -52,12 +53,13 @@ def numeric(
     """Wasserstein distance over the reference deviation per column.
 
     Both empirical distributions are accumulated over distinct values in ranges,
-    so no column is sorted in one task. A column of at most five distinct values
+    so no column is sorted in one task. The counts feed several passes and are
+    written once. A column of at most five distinct values
     is compared by Jensen-Shannon distance instead.
     """
-    counts = _counts(reference, current, columns, "double")
+    counts = stored(_counts(reference, current, columns, "double"), "value-counts")
     spread = melt(reference, columns).groupBy("column").agg(F.stddev_pop("value").alias("sd"))
-    totals = _totals(counts).join(spread, "column")
+    totals = F.broadcast(_totals(counts).join(spread, "column"))  # one row per column
     steps = running_totals(counts, ["column"], "value", ["ref", "cur"]).join(totals, "column")
     gap = F.abs(F.col("ref_upto") / F.col("n_ref") - F.col("cur_upto") / F.col("n_cur"))
     area = F.sum(zero_if_null(gap * (F.col("next_value") - F.col("value"))))
@@ -78,7 +80,8 @@ def categorical(
 ) -> DataFrame:
     """Jensen-Shannon distance of the value shares per column."""
     counts = _counts(reference, current, columns, "string")
-    scored = counts.join(_totals(counts), "column").groupBy("column").agg(_js_distance().alias("score"))
+    totals = F.broadcast(_totals(counts))  # one row per column
+    scored = counts.join(totals, "column").groupBy("column").agg(_js_distance().alias("score"))
     return scored.select(
         "column", F.lit("jensen_shannon").alias("method"), "score", (F.col("score") >= threshold).alias("drifted")
     )

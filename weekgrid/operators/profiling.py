@@ -119,7 +119,7 @@ def outliers(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame
     names = ["q1", "median", "q3", "lower", "upper"]
     return (
         melt(df, columns)
-        .join(box, "column")
+        .join(F.broadcast(box), "column")  # one row per column
         .groupBy("column", *names)
         .agg(F.count_if(outside).alias("n_outliers"))
     )

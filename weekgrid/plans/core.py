@@ -81,7 +81,7 @@ def bronze_sql_path_scan(spark, sf_dir):
 @query("gold_parquet_roundtrip", f"SELECT {sql_rounded(gold_ops.COLUMNS)} FROM gold")
 def gold_parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "gold-table")
-    tables.write_table(panel(spark, sf_dir).gold, path)
+    tables.write_table(panel(spark, sf_dir).gold, path, order_by=["date", "store", "dept"])
     return columns.rounded(tables.read_table(spark, path), 6)
 
 
@@ -109,8 +109,8 @@ def snapshot_version_as_of(spark, sf_dir):
     path = scratch_path(spark, "sales-versions")
     p = panel(spark, sf_dir)
     shown = ["store", "dept", "date", "weekly_sales"]
-    tables.write_snapshot(p.sales.select(shown), path, 0)
-    tables.write_snapshot(p.silver_sales.select(shown), path, 1)
+    tables.write_snapshot(p.sales.select(shown), path, 0, "2024-01-01 00:00:00")
+    tables.write_snapshot(p.silver_sales.select(shown), path, 1, "2024-02-01 00:00:00")
     return tables.read_snapshot(spark, path, 0)
 
 
@@ -119,11 +119,25 @@ def snapshot_latest(spark, sf_dir):
     path = scratch_path(spark, "sales-versions")
     p = panel(spark, sf_dir)
     shown = ["store", "dept", "date", "weekly_sales"]
-    tables.write_snapshot(p.sales.select(shown), path, 0)
-    tables.write_snapshot(p.silver_sales.select(shown), path, 1)
+    tables.write_snapshot(p.sales.select(shown), path, 0, "2024-01-01 00:00:00")
+    tables.write_snapshot(p.silver_sales.select(shown), path, 1, "2024-02-01 00:00:00")
     return tables.read_snapshot(spark, path)
 
 
+@query(
+    "snapshot_timestamp_as_of",
+    """SELECT CAST(store AS INTEGER) AS store, CAST(dept AS INTEGER) AS dept, date, weekly_sales
+       FROM raw_sales""",
+)
+def snapshot_timestamp_as_of(spark, sf_dir):
+    path = scratch_path(spark, "sales-versions")
+    p = panel(spark, sf_dir)
+    shown = ["store", "dept", "date", "weekly_sales"]
+    tables.write_snapshot(p.sales.select(shown), path, 0, "2024-01-01 00:00:00")
+    tables.write_snapshot(p.silver_sales.select(shown), path, 1, "2024-02-01 00:00:00")
+    return tables.read_snapshot(spark, path, as_of="2024-01-15 00:00:00")
+
+
 # --- silver ------------------------------------------------------------------
 
 
@@ -211,7 +225,7 @@ def gold_calendar(spark, sf_dir):
 
 @query(
     "gold_calendar_anchored",
-    """SELECT CAST(unnest(generate_series(d0 + (12 - isodow(d0)) % 7, d1, INTERVAL 7 DAYS)) AS DATE) AS date
+    """SELECT CAST(unnest(generate_series(d0 + CAST((12 - isodow(d0)) % 7 AS INTEGER), d1, INTERVAL 7 DAYS)) AS DATE) AS date
        FROM (SELECT CAST(min(l_shipdate) AS DATE) AS d0, CAST(max(l_shipdate) AS DATE) AS d1 FROM lineitem)""",
 )
 def gold_calendar_anchored(spark, sf_dir):

@@ -166,7 +166,7 @@ def roi_kpis(spark, sf_dir):
 
 @query(
     "safety_stock",
-    """SELECT store, dept, round(avg(weekly_sales), 4) AS mean_demand,
+    """SELECT store, dept, round(round(avg(weekly_sales), 7), 4) AS mean_demand,
               round(stddev_samp(weekly_sales), 4) AS std_demand,
               round(1.65 * sqrt(2.0 * stddev_samp(weekly_sales) * stddev_samp(weekly_sales)
                                 + avg(weekly_sales) * avg(weekly_sales) * 0.25), 4) AS safety_stock
@@ -174,7 +174,8 @@ def roi_kpis(spark, sf_dir):
 )
 def safety_stock(spark, sf_dir):
     sales = Panel(spark, sf_dir, reuse=False).silver_sales
-    return rounded(kpi.safety_stock(sales, ["store", "dept"]), 4)
+    stock = kpi.safety_stock(sales, ["store", "dept"])
+    return rounded(rounded(stock, 7, ["mean_demand"]), 4)
 
 
 @query(

@@ -89,11 +89,11 @@ SCALED = f"""{PROFILES}, scaled AS (SELECT *, {", ".join(scaled_sql(c) for c in
 
 @query(
     "store_profiles",
-    f"""WITH {PROFILES} SELECT store, round(avg_weekly_sales, 4) AS avg_weekly_sales, store_size,
-        round(avg_weekly_markdown, 4) AS avg_weekly_markdown FROM profiles""",
+    f"""WITH {PROFILES} SELECT store, round(round(avg_weekly_sales, 7), 4) AS avg_weekly_sales, store_size,
+        round(round(avg_weekly_markdown, 7), 4) AS avg_weekly_markdown FROM profiles""",
 )
 def store_profiles(spark, sf_dir):
-    return rounded(segments.profiles(panel(spark, sf_dir).stored_gold), 4)
+    return rounded(rounded(segments.profiles(panel(spark, sf_dir).stored_gold), 7), 4)
 
 
 @query(
@@ -192,7 +192,7 @@ CATEGORICAL = gold_ops.CATEGORICAL
 
 def numeric_sql(c, source="splits", ref="split = 'train'", cur="split = 'test'"):
     return f"""
-    SELECT '{c}' AS column,
+    SELECT '{c}' AS "column",
            CASE WHEN count(*) <= 5 THEN 'jensen_shannon' ELSE 'wasserstein' END AS method,
            CASE WHEN count(*) <= 5
                 THEN sqrt(greatest(sum(CASE WHEN p > 0 THEN 0.5 * p * ln(2 * p / (p + q)) ELSE 0 END
@@ -209,7 +209,7 @@ def numeric_sql(c, source="splits", ref="split = 'train'", cur="split = 'test'")
 
 def categorical_sql(c, source="splits", ref="split = 'train'", cur="split = 'test'"):
     return f"""
-    SELECT '{c}' AS column, 'jensen_shannon' AS method,
+    SELECT '{c}' AS "column", 'jensen_shannon' AS method,
            sqrt(greatest(sum(CASE WHEN p > 0 THEN 0.5 * p * ln(2 * p / (p + q)) ELSE 0 END
                            + CASE WHEN q > 0 THEN 0.5 * q * ln(2 * q / (p + q)) ELSE 0 END), 0)) AS score
     FROM (SELECT {c}, count(*) FILTER ({ref}) / (SELECT count(*) FROM {source} WHERE {ref}) AS p,
@@ -219,7 +219,7 @@ def categorical_sql(c, source="splits", ref="split = 'train'", cur="split = 'tes
 
 NUMERIC_SQL = "\nUNION ALL\n".join(numeric_sql(c) for c in NUMERIC)
 CATEGORICAL_SQL = "\nUNION ALL\n".join(categorical_sql(c) for c in CATEGORICAL)
-SCORES = "SELECT column, method, round(score, 6) AS score, score >= 0.1 AS drifted FROM ({})"
+SCORES = "SELECT \"column\", method, round(score, 6) AS score, score >= 0.1 AS drifted FROM ({})"
 
 
 def drift_sides(spark, sf_dir):

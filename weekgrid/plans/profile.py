@@ -1,4 +1,8 @@
-"""Profiling queries."""
+"""Profiling queries.
+
+Means of amounts in cents can fall on a rounding tie; they are rounded to seven
+digits first, on both sides, so the order of summation cannot decide the tie.
+"""
 
 from __future__ import annotations
 
@@ -117,7 +121,7 @@ def profile_null_range(spark, sf_dir):
 @query(
     "profile_summary",
     _union(
-        """SELECT '{c}' AS column, count({c}) AS n, round(avg({c}), 4) AS mean,
+        """SELECT '{c}' AS column, count({c}) AS n, round(round(avg({c}), 7), 4) AS mean,
                   round(stddev_samp({c}), 4) AS std, round(min({c}), 4) AS min,
                   round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50,
                   round(quantile_cont({c}, 0.75), 4) AS p75, round(max({c}), 4) AS max FROM gold""",
@@ -125,7 +129,8 @@ def profile_null_range(spark, sf_dir):
     ),
 )
 def profile_summary(spark, sf_dir):
-    return rounded(profiling.summary(panel(spark, sf_dir).stored_gold, MEASURES), 4)
+    found = profiling.summary(panel(spark, sf_dir).stored_gold, MEASURES)
+    return rounded(rounded(found, 7, ["mean"]), 4)
 
 
 @query(
@@ -221,25 +226,25 @@ def macro_weekly_total(spark, sf_dir):
 
 @query(
     "sales_by_month",
-    """SELECT CAST(month(date) AS INTEGER) AS month, round(avg(weekly_sales), 4) AS mean_sales
+    """SELECT CAST(month(date) AS INTEGER) AS month, round(round(avg(weekly_sales), 7), 4) AS mean_sales
        FROM sales GROUP BY 1 ORDER BY 1""",
 )
 def sales_by_month(spark, sf_dir):
     sales = Panel(spark, sf_dir, reuse=False).silver_sales
     means = sales.groupBy(F.month("date").alias("month")).agg(F.avg("weekly_sales").alias("mean_sales"))
-    return rounded(means, 4).orderBy("month")
+    return rounded(rounded(means, 7), 4).orderBy("month")
 
 
 @query(
     "seasonality_by_week",
-    """SELECT week_of_year, round(avg(weekly_sales), 4) AS mean_sales,
-              round(avg(total_markdown), 4) AS mean_markdown FROM gold GROUP BY week_of_year""",
+    """SELECT week_of_year, round(round(avg(weekly_sales), 7), 4) AS mean_sales,
+              round(round(avg(total_markdown), 7), 4) AS mean_markdown FROM gold GROUP BY week_of_year""",
 )
 def seasonality_by_week(spark, sf_dir):
     means = panel(spark, sf_dir).stored_gold.groupBy("week_of_year").agg(
         F.avg("weekly_sales").alias("mean_sales"), F.avg("total_markdown").alias("mean_markdown")
     )
-    return rounded(means, 4)
+    return rounded(rounded(means, 7), 4)
 
 
 @query(
@@ -257,25 +262,27 @@ def macro_sales_fuel(spark, sf_dir):
 @query(
     "holiday_lift",
     """WITH m AS (SELECT avg(weekly_sales) AS base FROM gold WHERE isholiday = 0)
-       SELECT isholiday, round(avg(weekly_sales), 4) AS mean_sales, count(*) AS n,
+       SELECT isholiday, round(round(avg(weekly_sales), 7), 4) AS mean_sales, count(*) AS n,
               round(quantile_cont(weekly_sales, 0.5), 4) AS median_sales,
               round(100.0 * (avg(weekly_sales) - max(base)) / max(base), 6) AS lift_pct
        FROM gold, m GROUP BY isholiday""",
 )
 def holiday_lift(spark, sf_dir):
     lift = profiling.lift_by_flag(panel(spark, sf_dir).stored_gold, "isholiday", "weekly_sales")
-    return rounded(rounded(lift, 4, ["mean_sales", "median_sales"]), 6, ["lift_pct"])
+    lift = rounded(rounded(lift, 7, ["mean_sales"]), 4, ["mean_sales", "median_sales"])
+    return rounded(lift, 6, ["lift_pct"])
 
 
 @query(
     "sales_by_date_interval",
-    """SELECT date, round(avg(weekly_sales), 4) AS mean,
+    """SELECT date, round(round(avg(weekly_sales), 7), 4) AS mean,
               round(avg(weekly_sales) - 1.96 * stddev_samp(weekly_sales) / sqrt(count(*)), 4) AS low,
               round(avg(weekly_sales) + 1.96 * stddev_samp(weekly_sales) / sqrt(count(*)), 4) AS high,
               count(*) AS n FROM gold GROUP BY date""",
 )
 def sales_by_date_interval(spark, sf_dir):
-    return rounded(profiling.mean_interval(panel(spark, sf_dir).stored_gold, "date", "weekly_sales"), 4)
+    found = profiling.mean_interval(panel(spark, sf_dir).stored_gold, "date", "weekly_sales")
+    return rounded(rounded(found, 7, ["mean"]), 4)
 
 
 # --- correlation -------------------------------------------------------------

@@ -25,22 +25,44 @@ def between_sql(name, source, column, low, high):
     return row(name, "between", column, f"[{low}, {high}]", "count(*)", f"count(*) FILTER ({test})") + f" FROM {source}"
 
 
-@query("dq_silver_sales")
+def suite_sql(name, source, rules):
+    """A suite as SQL: one line per rule; schema rules hold on these tables."""
+    lines = []
+    for r in rules:
+        column = ",".join(r.columns)
+        first = r.columns[0]
+        if r.kind == "between":
+            lines.append(between_sql(name, source, first, r.low, r.high))
+            continue
+        if r.kind == "unique":
+            n, bad = "sum(c)::BIGINT", "coalesce(sum(c) FILTER (c > 1), 0)::BIGINT"
+            origin = f"(SELECT count(*) AS c FROM {source} GROUP BY {column})"
+        else:
+            n, origin = "count(*)", source
+            bad = {
+                "not_null": f"count(*) - count({first})",
+                "in_set": f"count(*) FILTER ({first} NOT IN ({', '.join(map(repr, r.values))}))",
+            }.get(r.kind, "0::BIGINT")
+        lines.append(row(name, r.kind, column, r.params, n, bad) + f" FROM {origin}")
+    return "\nUNION ALL\n".join(lines)
+
+
+@query("dq_silver_sales", suite_sql("sales", "sales", contracts.SALES))
 def dq_silver_sales(spark, sf_dir):
     return contracts.run(panel(spark, sf_dir).silver_sales, "sales", contracts.SALES)
 
 
-@query("dq_silver_features")
+@query("dq_silver_features", suite_sql("features", "features", contracts.FEATURES))
 def dq_silver_features(spark, sf_dir):
     return contracts.run(panel(spark, sf_dir).silver_features, "features", contracts.FEATURES)
 
 
-@query("dq_silver_stores")
+@query("dq_silver_stores", suite_sql("stores", "stores", contracts.STORES))
 def dq_silver_stores(spark, sf_dir):
     return contracts.run(panel(spark, sf_dir).silver_stores, "stores", contracts.STORES)
 
 
-@query("dq_gold")
+@query("dq_gold", suite_sql("gold", "gold", contracts.GOLD))
 def dq_gold(spark, sf_dir):
     return contracts.run(panel(spark, sf_dir).stored_gold, "gold", contracts.GOLD)
 

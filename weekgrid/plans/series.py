@@ -47,13 +47,13 @@ def seasonal_decompose(spark, sf_dir):
           FROM s a JOIN s b ON a.store = b.store AND abs(a.t - b.t) <= 26 GROUP BY a.store, a.date, a.t, a.y),
         ph AS (SELECT store, (t - 1) % 52 AS p, avg(y - trend) AS raw FROM tr GROUP BY 1, 2),
         se AS (SELECT store, p, raw - avg(raw) OVER (PARTITION BY store) AS seasonal FROM ph)
-        SELECT tr.store, date, round(y, 2) AS observed, round(trend, 2) AS trend,
-               round(seasonal, 2) AS seasonal, round(y - trend - seasonal, 2) AS resid
+        SELECT tr.store, date, round(y, 6) AS observed, round(trend, 6) AS trend,
+               round(seasonal, 6) AS seasonal, round(y - trend - seasonal, 6) AS resid
         FROM tr JOIN se ON tr.store = se.store AND (t - 1) % 52 = p""",
 )
 def seasonal_decompose_by_store(spark, sf_dir):
     totals = panel(spark, sf_dir).stored_gold.groupBy("store", "date").agg(F.sum("weekly_sales").alias("y"))
-    return rounded(timeseries.decompose(totals, ["store"], "y"), 2)
+    return rounded(timeseries.decompose(totals, ["store"], "y"), 6)
 
 
 @query("adf_residuals")

@@ -2,26 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 DEFAULT_FORMAT = "parquet"
 
 
-@functools.cache
-def has_format(spark: SparkSession, fmt: str) -> bool:
-    """Whether the session can resolve a data source such as ``delta``."""
-    try:
-        spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
-            fmt, spark._jsparkSession.sessionState().conf()
-        )
-        return True
-    except Exception:
-        return False
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -52,12 +38,16 @@ def write_table(
     partition_by: list[str] | None = None,
     fmt: str = DEFAULT_FORMAT,
     rows_per_file: int | None = None,
+    order_by: list[str] | None = None,
 ) -> None:
     """Overwrite a table, optionally in one directory per partition value.
 
     Rows are spread over tasks as they come, not gathered by partition value,
-    so a store holding a third of all rows is written by many tasks.
+    so a store holding a third of all rows is written by many tasks. ``order_by``
+    sorts the whole table by sampled ranges on its way out.
     """
+    if order_by:
+        df = df.orderBy(*order_by)
     writer = df.write.format(fmt).mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
@@ -71,26 +61,40 @@ def read_sql(spark: SparkSession, path: str, columns: str = "*", fmt: str = DEFA
     return spark.sql(f"SELECT {columns} FROM {fmt}.`{path}`")
 
 
-def write_snapshot(df: DataFrame, path: str, version: int) -> None:
-    """Store one version of a table under ``path/snapshot=n``.
+def write_snapshot(df: DataFrame, path: str, version: int, taken_at: str) -> None:
+    """Store one version of a table under ``path/snapshot=n``, with its time.
 
     The directory is replaced as a whole, so a retried write cannot leave two
     copies of a version.
     """
-    df.write.mode("overwrite").parquet(f"{path}/snapshot={version}")
+    timed = df.withColumn("taken_at", F.lit(taken_at))
+    timed.write.mode("overwrite").partitionBy("taken_at").parquet(f"{path}/snapshot={version}")
 
 
 def read_snapshot(
-    spark: SparkSession, path: str, version: int | None = None, fmt: str = DEFAULT_FORMAT
+    spark: SparkSession,
+    path: str,
+    version: int | None = None,
+    as_of: str | None = None,
+    fmt: str = DEFAULT_FORMAT,
 ) -> DataFrame:
-    """One version of a table: by the table format's own time travel when it
-    has one, otherwise by partition pruning over snapshot directories."""
+    """One version of a table: by number, by time, or the newest. A table format
+    with its own time travel is asked for it, otherwise snapshot directories are
+    pruned by partition."""
     if fmt == "delta":
         reader = spark.read.format("delta")
         if version is not None:
             reader = reader.option("versionAsOf", version)
+        elif as_of is not None:
+            reader = reader.option("timestampAsOf", as_of)
         return reader.load(path)
     every = spark.read.parquet(path)
     wanted: Column | int
-    wanted = every.agg(F.max("snapshot")).scalar() if version is None else version
-    return every.where(F.col("snapshot") == wanted).drop("snapshot")
+    if version is not None:
+        wanted = version
+    else:
+        known = every.select("snapshot", "taken_at").distinct()
+        if as_of is not None:
+            known = known.where(F.col("taken_at").cast("timestamp") <= F.lit(as_of).cast("timestamp"))
+        wanted = known.agg(F.max("snapshot")).scalar()
+    return every.where(F.col("snapshot") == wanted).drop("snapshot", "taken_at")
