@@ -4,37 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from weekgrid.session import stored
 
-def running_totals(
-    df: DataFrame, by: list[str], order: str, measures: list[str], fan: int = 32
-) -> DataFrame:
-    """Adds ``<measure>_upto`` and ``next_value`` within each ``by`` group.
-
-    Expects one row per group and ``order`` value. A window over a whole group
-    would put it into one task; here a sketch cuts the group into ``fan`` squared
-    ranges of similar size, totals per range are accumulated over at most that
-    many rows, and the window runs inside a range. A row finds its range in two
-    steps of ``fan`` comparisons. Groups must be few (columns of a table): their
-    range edges and totals, ``fan`` squared numbers each, are broadcast.
+
+def ranges(df: DataFrame, by: list[str], order: str) -> DataFrame:
+    """The table written out in value ranges of similar size, with the number of
+    its range as ``bucket``; later ranges hold later values of a group."""
+    ranged = df.repartitionByRange(*by, order).withColumn("bucket", F.spark_partition_id())
+    return stored(ranged, "ranges")
+
+
+def running_totals(ranged: DataFrame, by: list[str], order: str, measures: list[str]) -> DataFrame:
+    """Adds ``<measure>_upto`` and ``next_value`` within each ``by`` group of a
+    table from ``ranges`` with one row per group and ``order`` value.
+
+    A window over a whole group would put it into one task. Here totals per
+    range are accumulated first, over as many rows as there are ranges, and the
+    window runs inside a range. Groups must be few (the columns of a table):
+    their range totals are broadcast.
     """
-    buckets = fan * fan
-    cuts = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    sketch = f"percentile_approx({order}, array({cuts}), {4 * buckets})"
-    edges = df.groupBy(*by).agg(F.expr(sketch).alias("edges"))
-    # edges closing each coarse range
-    coarse_edges = edges.withColumn(
-        "coarse", F.filter("edges", lambda _, i: (i + 1) % fan == 0)
-    )
-    value = F.col(order)
-    placed = (
-        df.join(F.broadcast(coarse_edges), by)
-        .withColumn("_c", F.size(F.filter("coarse", lambda e: e < value)))
-        .withColumn("_part", F.slice("edges", F.col("_c") * fan + 1, F.lit(fan - 1)))
-        .withColumn("bucket", F.col("_c") * fan + F.size(F.filter("_part", lambda e: e < value)))
-        .drop("edges", "coarse", "_c", "_part")
-    )
-    sums = placed.groupBy(*by, "bucket").agg(
-        F.min(order).alias("_first"), *[F.sum(m).alias(m) for m in measures]
+    sums = ranged.groupBy(*by, "bucket").agg(
+        F.min(order).alias("_first"), *[F.sum(m).alias(f"_{m}") for m in measures]
     )
     across = Window.partitionBy(*by).orderBy("bucket")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
@@ -42,11 +32,11 @@ def running_totals(
         *by,
         "bucket",
         F.lead("_first").over(across).alias("_following"),
-        *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_{m}_before") for m in measures],
+        *[F.coalesce(F.sum(f"_{m}").over(before), F.lit(0)).alias(f"_{m}_before") for m in measures],
     )
     inside = Window.partitionBy(*by, "bucket").orderBy(order)
     return (
-        placed.join(F.broadcast(offsets), [*by, "bucket"])
+        ranged.join(F.broadcast(offsets), [*by, "bucket"])
         .withColumns(
             {
                 **{f"{m}_upto": F.col(f"_{m}_before") + F.sum(m).over(inside) for m in measures},

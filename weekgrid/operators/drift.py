@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weekgrid.functions.columns import ratio, zero_if_null
 from weekgrid.functions.longform import melt
-from weekgrid.functions.running import running_totals
-from weekgrid.session import stored
+from weekgrid.functions.running import ranges, running_totals
 
 THRESHOLD = 0.1
 FEW_VALUES = 5
@@ -57,7 +56,7 @@ def numeric(
     written once. A column of at most five distinct values
     is compared by Jensen-Shannon distance instead.
     """
-    counts = stored(_counts(reference, current, columns, "double"), "value-counts")
+    counts = ranges(_counts(reference, current, columns, "double"), ["column"], "value")
     spread = melt(reference, columns).groupBy("column").agg(F.stddev_pop("value").alias("sd"))
     totals = F.broadcast(_totals(counts).join(spread, "column"))  # one row per column
     steps = running_totals(counts, ["column"], "value", ["ref", "cur"]).join(totals, "column")

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weekgrid.functions.columns import log_plus_one, ratio
+from weekgrid.functions.columns import log_plus_one
 from weekgrid.functions.trailing import centred_mean, series
 
 # MacKinnon (1994) p-value polynomials and (2010) critical values
@@ -56,16 +56,10 @@ def decompose(df: DataFrame, keys: list[str], value: str, date: str = "date", pe
     )
 
 
-def _lag_rows(sums: DataFrame, keys: list[str], lags: int, value: str) -> DataFrame:
-    cells = [F.struct(F.lit(k).alias("lag"), F.col(f"s{k}").alias(value)) for k in range(lags + 1)]
-    return sums.select(*keys, "n", F.inline(F.array(*cells)))
-
-
 def autocorrelation(
     df: DataFrame, keys: list[str], value: str, date: str = "date", lags: int = 60
 ) -> DataFrame:
-    """(keys..., lag, acf), biased estimate. All lags share one window pass; no
-    row is multiplied by the number of lags."""
+    """(keys..., lag, acf), biased estimate."""
     return cross_correlation(df, keys, value, value, date, lags).select(
         *keys, "lag", F.col("ccf").alias("acf")
     )
@@ -75,28 +69,33 @@ def cross_correlation(
     df: DataFrame, keys: list[str], x: str, y: str, date: str = "date", lags: int = 12
 ) -> DataFrame:
     """(keys..., lag, ccf, band): correlation of ``x`` with ``y`` of ``lag`` weeks
-    before, and the 1.96/sqrt(n) band."""
-    whole = Window.partitionBy(*keys)
-    w = series(keys, date)
-    centred = df.select(
-        *keys,
-        date,
-        (F.col(x) - F.avg(x).over(whole)).alias("_x"),
-        (F.col(y) - F.avg(y).over(whole)).alias("_y"),
+    before, and the 1.96/sqrt(n) band.
+
+    A series is gathered as one ordered array, a few hundred weeks long, and all
+    lags are sums over that array: one shuffle, and no row per week and lag.
+    """
+    gathered = df.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(date, F.col(x).alias("x"), F.col(y).alias("y")))).alias("s"),
+        F.avg(x).alias("mx"),
+        F.avg(y).alias("my"),
     )
-    products = centred.select(
-        *keys,
-        "_x",
-        "_y",
-        *[(F.col("_x") * F.lag("_y", k).over(w)).alias(f"_p{k}") for k in range(lags + 1)],
-    )
-    scale = F.sqrt(F.sum(F.col("_x") * F.col("_x")) * F.sum(F.col("_y") * F.col("_y")))
-    sums = products.groupBy(*keys).agg(
-        F.count("*").alias("n"), *[ratio(F.sum(f"_p{k}"), scale).alias(f"s{k}") for k in range(lags + 1)]
+    centred = gathered.selectExpr(
+        *keys, "transform(s, e -> e.x - mx) AS xs", "transform(s, e -> e.y - my) AS ys"
     )
-    return _lag_rows(sums, keys, lags, "ccf").select(
-        *keys, "lag", "ccf", (F.lit(1.96) / F.sqrt("n")).alias("band")
+    dot = "aggregate(zip_with({a}, {b}, (p, q) -> coalesce(p * q, 0D)), 0D, (t, v) -> t + v)"
+    scaled = centred.selectExpr(
+        *keys,
+        "xs",
+        "ys",
+        f"sqrt({dot.format(a='xs', b='xs')} * {dot.format(a='ys', b='ys')}) AS scale",
+        "1.96D / sqrt(size(xs)) AS band",
     )
+    shifted = dot.format(a="slice(xs, k + 1, size(xs))", b="ys")
+    return scaled.selectExpr(
+        *keys,
+        f"inline(transform(sequence(0, {lags}), k -> struct(k AS lag, try_divide({shifted}, scale) AS ccf)))",
+        "band",
+    ).select(*keys, "lag", "ccf", "band")
 
 
 def partial_autocorrelation(acf: DataFrame, keys: list[str]) -> DataFrame:
