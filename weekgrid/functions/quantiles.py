@@ -16,6 +16,7 @@ def quantiles(
     by: list[str] | None = None,
     discrete: bool = False,
     accuracy: int = ACCURACY,
+    salts: int = 32,
 ) -> DataFrame:
     """(by..., column, prob, value) for every column and probability; NULLs ignored.
 
@@ -23,8 +24,9 @@ def quantiles(
     mergeable sketch first brackets each wanted rank between two values, then a
     second pass counts what lies below the bracket and sorts only what lies
     inside it, about 4/accuracy of the group; equal values are counted before
-    they are shuffled, and a column is never a shuffle key of its raw rows
-    (with ``by`` the planner sizes that join, and skewed groups are split). A group no larger than ``accuracy`` is its own bracket.
+    they are shuffled. Raw rows never meet their bracket in one task per group:
+    without ``by`` the brackets, one row per column, are broadcast, and with it
+    every group is spread over ``salts`` tasks. A group no larger than ``accuracy`` is its own bracket.
     If a bracket ever misses its rank the query fails instead of being wrong.
     """
     by = list(by or [])
@@ -50,11 +52,14 @@ def quantiles(
             )
         )
     targets = sketch.select(*keys, F.array(*cells).alias("targets"))
-    if not by:
-        targets = F.broadcast(targets)  # one row per column
+    if by:
+        values = values.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        met = values.join(targets.withColumn("_salt", F.explode(every)), [*keys, "_salt"])
+    else:
+        met = values.join(F.broadcast(targets), keys)
     hits = (
-        values.join(targets, keys)
-        .select(*keys, "value", F.inline("targets"))
+        met.select(*keys, "value", F.inline("targets"))
         .where(F.col("value") <= F.col("hi"))
         .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value")))
     )

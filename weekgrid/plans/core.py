@@ -60,11 +60,11 @@ def bronze_csv_null_text(spark, sf_dir):
     )
 
 
-@query("bronze_partitioned_write", BRONZE_TEXT + " WHERE store <= 20")
+@query("bronze_partitioned_write", BRONZE_TEXT)
 def bronze_partitioned_write(spark, sf_dir):
     path = scratch_path(spark, "bronze-sales")
     tables.write_table(panel(spark, sf_dir).bronze_sales, path, ["Store"])
-    return tables.read_table(spark, path).where("Store <= 20")
+    return tables.read_table(spark, path)
 
 
 @query(
@@ -189,13 +189,10 @@ def silver_stores_clean(spark, sf_dir):
 
 @query(
     "silver_macro_ffill",
-    """SELECT store, date, cpi, unemployment FROM features
-       WHERE date > (SELECT max(date) - 120 FROM features)""",
+    "SELECT store, date, cpi, unemployment FROM features",
 )
 def silver_macro_ffill(spark, sf_dir):
-    f = panel(spark, sf_dir).silver_features.select("store", "date", "cpi", "unemployment")
-    last = calendar.span(f)["hi"]
-    return f.where(F.col("date") > F.date_sub(last, 120))
+    return panel(spark, sf_dir).silver_features.select("store", "date", "cpi", "unemployment")
 
 
 @query(

@@ -51,7 +51,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the scratch root, removed when the application ends."""
     path = f"{scratch_root(spark)}/weekgrid/{name}-{uuid.uuid4().hex}"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(jvm_path)  # only a path that exists can be marked for deletion
+    files.deleteOnExit(jvm_path)
     return path
 
 
