@@ -145,9 +145,13 @@ def test_residual_fixture(spark):
     assert sorted(r["residual_sales"] for r in affinity.residuals(df).collect()) == [0.0, 50000.0]
 
 
-@pytest.mark.parametrize("block", [2, 512])
-def test_pair_scores_equal_zero_filled_matrix(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, batch", [(2, 10_000), (512, 10_000), (512, 3), (2, 1)])
+def test_pair_scores_equal_zero_filled_matrix(spark, monkeypatch, block, batch):
+    """Also with batches that cut baskets apart."""
     monkeypatch.setattr(affinity, "BLOCK", block)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    kept = spark.conf.get(size)
+    spark.conf.set(size, str(batch))
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame([(s, d, w, rng.normal()) for s in range(4) for d in (1, 2, 5, 9, 12) for w in range(9)],
                        columns=["store", "dept", "date", "residual_sales"])
@@ -155,7 +159,10 @@ def test_pair_scores_equal_zero_filled_matrix(spark, monkeypatch, block):
     # two departments that never share a basket
     pdf = pdf[~((pdf["dept"] == 12) & (pdf["date"] < 5)) & ~((pdf["dept"] == 9) & (pdf["date"] >= 5))]
     want = pdf.pivot(index=["store", "date"], columns="dept", values="residual_sales").fillna(0).corr()
-    got = affinity.pair_scores(spark.createDataFrame(pdf)).collect()
+    try:
+        got = affinity.pair_scores(spark.createDataFrame(pdf)).collect()
+    finally:
+        spark.conf.set(size, kept)
     assert len(got) == 10
     for r in got:
         assert r["correlation_score"] == pytest.approx(want.loc[r["department_a"], r["department_b"]])

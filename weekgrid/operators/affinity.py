@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from weekgrid.functions.columns import ratio, zero_if_null
@@ -31,25 +32,33 @@ def basket_matrix(resid: DataFrame, depts: list[int]) -> DataFrame:
     return wide.select("store", "date", *[zero_if_null(F.col(f"`{d}`")).alias(f"dept_{d}") for d in depts])
 
 
-def _cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sum of products per department pair over the baskets of one batch.
+def _basket_numbers(cells: pa.Table) -> np.ndarray:
+    """Running number of the (store, date) basket each sorted row belongs to."""
+    if cells.num_rows < 2:
+        return np.zeros(cells.num_rows, dtype=np.int64)
+    new = [
+        pc.not_equal(cells[k].slice(1), cells[k].slice(0, cells.num_rows - 1)).to_numpy()
+        for k in ("store", "date")
+    ]
+    return np.concatenate([[0], np.cumsum(new[0] | new[1])])
 
-    Baskets are laid out as a matrix of columns blocked by department, so pairs
-    come out of a matrix product, already summed, and never as rows per basket.
+
+def _cross_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum of products per department pair over sorted basket cells.
+
+    The baskets of a batch are laid out as a matrix of columns blocked by
+    department, so pairs come out of a matrix product, already summed, and never
+    as rows per basket. A basket cut by the end of a batch waits for the next.
     """
-    for batch in batches:
-        sizes = batch["depts"].map(len).to_numpy()
-        if not sizes.sum():
-            continue
-        rows = np.repeat(np.arange(len(batch)), sizes)
-        depts = np.concatenate(batch["depts"].to_list())
-        amounts = np.concatenate(batch["amounts"].to_list())
-        names, place = np.unique(depts, return_inverse=True)
+
+    def products(cells: pa.Table, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        amounts = cells["residual_sales"].to_numpy()
+        names, place = np.unique(cells["dept"].to_numpy(), return_inverse=True)
         starts = range(0, len(names), BLOCK)
 
         def block(start: int) -> np.ndarray:
             keep = (place >= start) & (place < start + BLOCK)
-            dense = np.zeros((len(batch), min(BLOCK, len(names) - start)))
+            dense = np.zeros((rows[-1] + 1, min(BLOCK, len(names) - start)))
             dense[rows[keep], place[keep] - start] = amounts[keep]
             return dense
 
@@ -58,12 +67,24 @@ def _cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for j in starts:
                 if j < i:
                     continue
-                products = left.T @ (left if i == j else block(j))
-                a, b = np.nonzero(products)
+                sums = left.T @ (left if i == j else block(j))
+                a, b = np.nonzero(sums)
                 upper = a + i < b + j
-                if upper.any():
-                    a, b = a[upper], b[upper]
-                    yield pd.DataFrame({"a": names[a + i], "b": names[b + j], "sxy": products[a, b]})
+                a, b = a[upper], b[upper]
+                if len(a):
+                    yield pa.RecordBatch.from_pydict({"a": names[a + i], "b": names[b + j], "sxy": sums[a, b]})
+
+    waiting: pa.Table | None = None
+    for batch in batches:
+        fresh = pa.Table.from_batches([batch])
+        cells = fresh if waiting is None else pa.concat_tables([waiting, fresh])
+        number = _basket_numbers(cells)
+        cut = int(np.searchsorted(number, number[-1])) if len(number) else 0
+        if cut:
+            yield from products(cells.slice(0, cut), number[:cut])
+        waiting = cells.slice(cut)
+    if waiting is not None and waiting.num_rows:
+        yield from products(waiting, _basket_numbers(waiting))
 
 
 def pair_scores(resid: DataFrame) -> DataFrame:
@@ -71,25 +92,23 @@ def pair_scores(resid: DataFrame) -> DataFrame:
 
     Equals the correlation matrix of the zero-filled basket pivot, without the
     pivot: an absent department adds nothing to a sum, so the number of baskets
-    and the sums per department and per pair are enough. Every batch of baskets
-    is reduced to one partial sum per pair before the pair shuffle.
+    and the sums per department and per pair are enough. A task meets whole
+    baskets in order, and every batch of them is reduced to one partial sum per
+    pair before the pair shuffle.
     """
     n = resid.select("store", "date").distinct().agg(F.count("*").cast("double")).scalar()
     per_dept = resid.groupBy("dept").agg(
         F.sum("residual_sales").alias("s"),
         F.sum(F.col("residual_sales") * F.col("residual_sales")).alias("ss"),
     )
-    cell = F.struct("dept", "residual_sales")
-    baskets = (
-        resid.groupBy("store", "date")
-        .agg(F.collect_list(cell).alias("cells"))
-        .select(
-            F.col("cells.dept").cast("array<bigint>").alias("depts"),
-            F.col("cells.residual_sales").alias("amounts"),
-        )
+    cells = (
+        resid.where("store IS NOT NULL AND date IS NOT NULL")
+        .select("store", "date", F.col("dept").cast("bigint").alias("dept"), "residual_sales")
+        .repartition("store", "date")
+        .sortWithinPartitions("store", "date")
     )
     sums = (
-        baskets.mapInPandas(_cross_products, "a bigint, b bigint, sxy double")
+        cells.mapInArrow(_cross_products, "a bigint, b bigint, sxy double")
         .groupBy("a", "b")
         .agg(F.sum("sxy").alias("sxy"))
     )
