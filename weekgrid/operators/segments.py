@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from weekgrid.functions.columns import ratio, zero_if_null
+from weekgrid.session import stored
 
 FEATURES = ["avg_weekly_sales", "store_size", "avg_weekly_markdown"]
 # Archetype names from the largest to the smallest cluster centre by store size.
@@ -42,7 +43,10 @@ def standardised(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     )
 
 
-def _vectors(scaled: DataFrame) -> DataFrame:
+def _points(store_profiles: DataFrame) -> DataFrame:
+    """Standardised profiles with a vector column, written once: a fit reads them
+    in every iteration, in as many partitions as their size asks for."""
+    scaled = stored(standardised(store_profiles), "store-points")
     names = [f"{c}_scaled" for c in FEATURES]
     return VectorAssembler(inputCols=names, outputCol="features").transform(scaled)
 
@@ -50,7 +54,7 @@ def _vectors(scaled: DataFrame) -> DataFrame:
 def kmeans(store_profiles: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
     """Store profiles with ``cluster`` 0..k-1, numbered from the largest mean
     store size down, so the number does not depend on the fit's own order."""
-    points = _vectors(standardised(store_profiles))
+    points = _points(store_profiles)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="fitted", maxIter=100).fit(points)
     size_at = FEATURES.index("store_size")
     by_size = sorted(range(k), key=lambda i: -model.clusterCenters()[i][size_at])
@@ -76,14 +80,13 @@ def centres(clustered: DataFrame) -> DataFrame:
 
 def elbow(store_profiles: DataFrame, most: int = 10, seed: int = 42) -> DataFrame:
     """(k, inertia) for k = 1..most; k = 1 is the total variance."""
-    points = _vectors(standardised(store_profiles)).persist()
+    points = _points(store_profiles)
     spark = points.sparkSession
     names = [f"{c}_scaled" for c in FEATURES]
     total = points.agg(F.sum(sum(F.col(c) * F.col(c) for c in names)).alias("s")).first()["s"]
     costs = [(1, float(total))]
     for k in range(2, most + 1):
         costs.append((k, float(KMeans(k=k, seed=seed, maxIter=100).fit(points).summary.trainingCost)))
-    points.unpersist()
     return spark.createDataFrame(costs, "k int, inertia double")
 
 

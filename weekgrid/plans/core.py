@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weekgrid.functions import calendar, columns
 from weekgrid.functions.trailing import series, trailing_max, trailing_mean, trailing_std
-from weekgrid.operators import clean, grid, splits
+from weekgrid.operators import clean, forecast, grid, splits
 from weekgrid.operators import gold as gold_ops
 from weekgrid.plans.registry import query
 from weekgrid.plans.shared import panel
@@ -402,9 +402,7 @@ def gap_audit(spark, sf_dir):
        ORDER BY date DESC, store DESC, dept DESC LIMIT 1000""",
 )
 def live_feature_window(spark, sf_dir):
-    from weekgrid.operators.forecast import live_window
-
-    live = live_window(panel(spark, sf_dir).stored_gold, 1000)
+    live = forecast.live_window(panel(spark, sf_dir).stored_gold, 1000)
     shown = live.select("store", "dept", "date", "weekly_sales", "rolling_4_wk_sales_avg")
     return columns.rounded(shown, 6)
 
@@ -412,11 +410,9 @@ def live_feature_window(spark, sf_dir):
 @query(
     "holiday_mask",
     """SELECT CAST(isholiday AS VARCHAR) IN ('1', '1.0', 'True', 'true') AS holiday, count(*) AS n,
-              min(date) AS first_date,
-              arg_min(store, date * 1000000 + store * 1000 + dept) AS store,
-              arg_min(dept, date * 1000000 + store * 1000 + dept) AS dept
-       FROM (SELECT store, dept, isholiday, date AS day, datediff('day', DATE '1970-01-01', date)::BIGINT AS date FROM warm)
-       GROUP BY 1""".replace("min(date) AS first_date", "min(day) AS first_date"),
+              min(date) AS first_date, first(store ORDER BY date, store, dept) AS store,
+              first(dept ORDER BY date, store, dept) AS dept
+       FROM warm GROUP BY 1""",
 )
 def holiday_mask(spark, sf_dir):
     warm = splits.drop_warmup(panel(spark, sf_dir).stored_gold)

@@ -9,7 +9,7 @@ from weekgrid.operators import affinity, anomaly, drift, segments, splits
 from weekgrid.operators import gold as gold_ops
 from weekgrid.plans.registry import query
 from weekgrid.plans.shared import panel
-from weekgrid.sources.panel import DEPTS
+from weekgrid.sources.panel import DEPTS, table
 
 # --- department affinity -----------------------------------------------------
 
@@ -185,8 +185,7 @@ def anomaly_flags(spark, sf_dir):
 
 # --- drift -------------------------------------------------------------------
 
-NUMERIC = ["store_size", "temperature", "fuel_price", "cpi", "unemployment", "total_markdown",
-           "lag_1_sales", "sales_last_year", "rolling_4_wk_sales_avg", "cpi_lag_3_month", "sin_week"]
+NUMERIC = gold_ops.NUMERIC
 CATEGORICAL = gold_ops.CATEGORICAL
 
 
@@ -280,8 +279,6 @@ def drift_target(spark, sf_dir):
 )
 def drift_events(spark, sf_dir):
     """First half of the month's events against the second."""
-    from weekgrid.sources.panel import table
-
     events = table(spark, sf_dir, "events")
     half = F.to_timestamp_ntz(F.lit("2024-01-16 00:00:00"))
     before, after = events.where(F.col("ts") < half), events.where(F.col("ts") >= half)

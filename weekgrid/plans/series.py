@@ -81,10 +81,28 @@ def acf_60(spark, sf_dir):
     return rounded(timeseries.autocorrelation(network(spark, sf_dir), ["series"], "total_log"), 6)
 
 
-@query("pacf_60")
+PACF = f"""WITH RECURSIVE {NETWORK}, c AS (SELECT t, y - (SELECT avg(y) FROM network) AS d FROM network),
+    acf AS (SELECT k, coalesce(sum(a.d * b.d), 0) / (SELECT sum(d * d) FROM c) AS r
+            FROM (SELECT unnest(range(61)) AS k) lags JOIN c a ON true JOIN c b ON b.t = a.t - k GROUP BY k),
+    rr AS (SELECT list(r ORDER BY k) AS r FROM acf),
+    step AS (
+      SELECT 1 AS k, [r[2]] AS phi, 1 - r[2] * r[2] AS v, r[2] AS pacf, r FROM rr
+      UNION ALL
+      SELECT k + 1,
+             list_append(list_transform(range(1, k + 1),
+                         lambda i: phi[i] - (r[k + 2] - list_dot_product(phi, list_reverse(r[2:k + 1]))) / v * phi[k + 1 - i]),
+                         (r[k + 2] - list_dot_product(phi, list_reverse(r[2:k + 1]))) / v),
+             v * (1 - ((r[k + 2] - list_dot_product(phi, list_reverse(r[2:k + 1]))) / v) ^ 2),
+             (r[k + 2] - list_dot_product(phi, list_reverse(r[2:k + 1]))) / v, r
+      FROM step WHERE k < 60)
+    SELECT 'network' AS series, CAST(k AS INTEGER) AS lag, round(pacf, 6) AS pacf FROM step
+    UNION ALL SELECT 'network', 0, 1.0"""
+
+
+@query("pacf_60", PACF)
 def pacf_60(spark, sf_dir):
     acf = timeseries.autocorrelation(network(spark, sf_dir), ["series"], "total_log")
-    return timeseries.partial_autocorrelation(acf, ["series"])
+    return rounded(timeseries.partial_autocorrelation(acf, ["series"]), 6)
 
 
 @query(

@@ -164,6 +164,8 @@ def with_tables(sql: str) -> str:
         return sql
     parts = [f"{name} AS ({TABLES[name].strip()})" for name in TABLES if name in wanted]
     head = "WITH " + ",\n".join(parts)
+    if re.match(r"WITH RECURSIVE\b", sql, re.IGNORECASE):
+        return head.replace("WITH", "WITH RECURSIVE", 1) + ",\n" + sql[14:].strip()
     if re.match(r"WITH\b", sql, re.IGNORECASE):
         return head + ",\n" + sql[4:].strip()
     return head + "\n" + sql
