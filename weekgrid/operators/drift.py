@@ -35,6 +35,20 @@ def _totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def _reference_spread(counts: DataFrame) -> DataFrame:
+    """Totals per column with the reference deviation, from the value counts
+    alone: the tables are not scanned again."""
+    value, weight = F.col("value"), F.col("ref")
+    means = counts.groupBy("column").agg(ratio(F.sum(weight * value), F.sum(weight)).alias("mean"))
+    basis = F.broadcast(_totals(counts).join(means, "column"))
+    away = value - F.col("mean")
+    return (
+        counts.join(basis, "column")
+        .groupBy("column", "n_ref", "n_cur", "n_values")
+        .agg(F.sqrt(ratio(F.sum(weight * away * away), F.sum(weight))).alias("sd"))
+    )
+
+
 def _js_term(p: Column, q: Column) -> Column:
     """Half of p ln(p/m) with m the mean of p and q; zero where p is zero."""
     return F.when(p > 0, 0.5 * p * F.log(2.0 * p / (p + q))).otherwise(F.lit(0.0))
@@ -57,8 +71,7 @@ def numeric(
     is compared by Jensen-Shannon distance instead.
     """
     counts = ranges(_counts(reference, current, columns, "double"), ["column"], "value")
-    spread = melt(reference, columns).groupBy("column").agg(F.stddev_pop("value").alias("sd"))
-    totals = F.broadcast(_totals(counts).join(spread, "column"))  # one row per column
+    totals = F.broadcast(_reference_spread(counts))  # one row per column
     steps = running_totals(counts, ["column"], "value", ["ref", "cur"]).join(totals, "column")
     gap = F.abs(F.col("ref_upto") / F.col("n_ref") - F.col("cur_upto") / F.col("n_cur"))
     area = F.sum(zero_if_null(gap * (F.col("next_value") - F.col("value"))))
