@@ -129,7 +129,7 @@ def token_counts(
         split_documents(docs, head, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pre-tokens"
     )
     pairs = split.select("row", F.explode("tail").alias("t")).select("row", "t.word", F.col("t.n").alias("freq"))
-    counts = pairs.groupBy("word").agg(F.lit(1).alias("one")).select("word", count_pieces(path)("word").alias("pieces"))
+    counts = stored(pairs.groupBy("word").agg(F.lit(1).alias("one")).select("word", count_pieces(path)("word").alias("pieces")), "pieces")
     tails = pairs.join(counts, "word").groupBy("row").agg(F.sum(F.col("freq") * F.col("pieces")).alias("tail_tokens"))
     n = F.col("head_tokens") + F.coalesce("tail_tokens", F.lit(0))
     rows = split.select("row", "doc_id", "n_bytes", "head_tokens").join(tails, "row", "left")
