@@ -114,6 +114,7 @@ def repeated_spans(docs: DataFrame, k: int = K, q: int = ANCHOR) -> DataFrame:
     words also start earlier, at the source; compacted, with a digest of the words
     read there."""
     once = pieces(docs, k, q, True).groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")
+    once = stored(once, "repeated-anchors")  # a plain table, so that a skewed join can be split
     found = stored(pieces(docs, k, q, False).join(once, "a"), "repeated-pieces")
 
     place = F.struct("doc_id", "start")
