@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from weekgrid.llm.common import rows_of, stored, table
 from weekgrid.llm.components import components
@@ -24,7 +24,8 @@ from weekgrid.llm.words import mix
 
 WORDS, PERCENT = 5, 75
 SAMPLE, HOT_IN_SAMPLE, HOT = 16, 3, 200_000
-LEAF, ROUNDS = 128, 4
+LEAF, ROUNDS = 128, 3
+BACK, BITMAP = 3, 4
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
@@ -55,8 +56,8 @@ def described(docs: DataFrame, words: int) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, hot: np.ndarray, words: int, percent: int, key_only: bool) -> DataFrame:
-    """(s, doc_id, n, rest): a document's prefix shingles as 48-bit numbers, with
-    its set size and how much of the set is not in the prefix."""
+    """(s, doc_id, n, rank): a document's prefix shingles as 48-bit numbers, with
+    its set size and the shingle's place in the global order, from 0."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)  # at most HOT numbers
 
     def run(batches):
@@ -82,10 +83,10 @@ def prefixes(docs: DataFrame, hot: np.ndarray, words: int, percent: int, key_onl
             else:
                 who = text[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s), doc_id.take(pa.array(who)), pa.array(n[who]), pa.array((n - length)[who])], ["s", "doc_id", "n", "rest"]
+                    [pa.array(s), doc_id.take(pa.array(who)), pa.array(n[who]), pa.array(rank[keep])], ["s", "doc_id", "n", "rank"]
                 )
 
-    return docs.mapInArrow(run, "s long" if key_only else "s long, doc_id long, n long, rest long")
+    return docs.mapInArrow(run, "s long" if key_only else "s long, doc_id long, n long, rank long")
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -109,6 +110,21 @@ def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return pairs.join(found, ["a", "b"])
 
 
+def signed(rows: DataFrame) -> DataFrame:
+    """Adds to every prefix shingle the ``BACK`` ones before it, and of the
+    document's shingles here the number ``k`` and a bitmap. Two sets differ at
+    least where their bitmaps do."""
+    mine = Window.partitionBy("x")
+    order = mine.orderBy("rank", "s")
+    place = F.pmod(F.xxhash64("s"), F.lit(64 * BITMAP))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    return rows.select(
+        "*", F.count(F.lit(1)).over(mine).alias("k"),
+        *[F.bit_or(F.when(F.floor(place / 64) == i, bit).otherwise(F.lit(0).cast("long"))).over(mine).alias(f"bits{i}") for i in range(BITMAP)],
+        *[F.lag("s", i + 1).over(order).alias(f"back{i}") for i in range(BACK)],
+    )
+
+
 def jaccard_join(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF, rounds: int = ROUNDS,
     id_col: str = "doc_id", text_col: str = "text",
@@ -133,22 +149,24 @@ def jaccard_join(
 
     named = source.where(F.col("doc_id").isNotNull())
     repeated = prefixes(named, hot, words, percent, True).groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("s")
+    repeated = stored(repeated, "repeated")  # a plain table, so that a skewed join can be split
     rows = prefixes(named, hot, words, percent, False).join(repeated, "s")
     # Copies of a set have the same prefix: only the class representatives stay.
     reps = classes.select(F.col("rep").alias("doc_id"), F.col("n"))
     regions = stored(rows.join(reps, ["doc_id", "n"]).distinct(), "regions")
-    regions = regions.select("s", F.col("doc_id").alias("x"), "n", "rest")
+    regions = regions.select("s", F.col("doc_id").alias("x"), "n", "rank")
     texts = stored(source.join(regions.select(F.col("x").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id"), "texts")
 
     near = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
     linked = F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("shared"))
     links = stored(classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0), "links")
     part = None
-    active = regions
+    active = regions.withColumn("beyond", F.lit(0))
     direct = None
     for step in range(rounds):
-        pivots = active.groupBy("s").agg(F.min(F.struct("x", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1")
-        around = stored(active.join(pivots, "s").select("s", "x", "n", "rest", F.col("p.x").alias("p"), F.col("p.n").alias("n_p")), "around")
+        # From the second round on a document that no ball of its region has reached.
+        pivots = active.groupBy("s").agg(F.min(F.struct("beyond", "x", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1")
+        around = stored(active.join(pivots, "s").select("s", "x", "n", "rank", F.col("p.x").alias("p"), F.col("p.n").alias("n_p")), "around")
         pairs = around.where((F.col("x") != F.col("p")) & near(F.col("n"), F.col("n_p"))).select(
             F.col("x").alias("a"), F.col("p").alias("b"), F.col("n").alias("n_a"), F.col("n_p").alias("n_b")
         ).distinct()
@@ -169,26 +187,37 @@ def jaccard_join(
         # so the window is opened by a little.
         stay = at.join(nearest, "s").where(
             (F.col("x") != F.col("p")) & (~F.col("inside") | (F.col("gap") >= F.col("nearest") - (1 - percent / 100) - 1e-9))
-        ).select("s", "x", "n", "rest")
+        ).select("s", "x", "n", "rank", F.col("inside").cast("int").alias("beyond"))
         sizes = stay.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         kept = stored(stay.join(sizes, "s"), "rest")
-        small = kept.where((F.col("c") <= leaf) | F.lit(step == rounds - 1)).drop("c")
+        small = kept.where((F.col("c") <= leaf) | F.lit(step == rounds - 1)).drop("c", "beyond")
         direct = small if direct is None else direct.unionByName(small)
         active = kept.where(F.col("c") > leaf).drop("c")
         if active.limit(1).count() == 0:
             break
 
     group = part.select(F.col("node").alias("x"), F.col("component").alias("c"))
-    left = direct.join(group, "x", "left").withColumn("c", F.coalesce("c", "x"))
-    right = left.select("s", *[F.col(k).alias(f"{k}_b") for k in ("x", "n", "rest", "c")])
-    met = left.join(right, "s").where((F.col("x") < F.col("x_b")) & (F.col("c") != F.col("c_b")) & near(F.col("n"), F.col("n_b")))
-    counted = met.groupBy("x", "x_b").agg(
-        F.count(F.lit(1)).alias("met"), F.first("n").alias("n_a"), F.first("n_b").alias("n_b"), F.max(F.greatest("rest", "rest_b")).alias("rest")
+    left = stored(signed(direct.join(group, "x", "left").withColumn("c", F.coalesce("c", "x"))), "direct")
+    right = left.select(*[F.col(k).alias(k if k == "s" else f"{k}_b") for k in left.columns])
+    n, n_b = F.col("n"), F.col("n_b")
+    enough = lambda most: F.lit(100) * most >= F.lit(percent) * (n + n_b - most)
+    # Skipped where one of the shingles just before is common too: the pair has met
+    # there already, and the first time it meets nothing is skipped.
+    again = F.lit(False)
+    for i in range(BACK):
+        for j in range(BACK):
+            again |= F.col(f"back{i}") == F.col(f"back{j}_b")
+    # In common at most what follows the first common shingle in both; and within
+    # the prefixes at most what two bitmaps of them leave possible.
+    differ = sum((F.bit_count(F.col(f"bits{i}").bitwiseXOR(F.col(f"bits{i}_b"))) for i in range(BITMAP)), F.lit(0))
+    within = F.floor((F.col("k") + F.col("k_b") - differ) / 2)
+    beyond = F.floor((F.lit(percent) * F.greatest(n, n_b) + 99) / 100) - 1
+    met = left.join(right, "s").where(
+        (F.col("x") < F.col("x_b")) & (F.col("c") != F.col("c_b")) & near(n, n_b)
+        & enough(F.least(n - F.col("rank"), n_b - F.col("rank_b"))) & enough(within + beyond)
+        & ~F.coalesce(again, F.lit(False))
     )
-    # A pair that shares ``met`` prefix shingles shares at most ``rest`` others.
-    most = F.col("met") + F.col("rest")
-    able = F.lit(100) * most >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - most)
-    pairs = stored(counted.where(able).select(F.col("x").alias("a"), F.col("x_b").alias("b"), "n_a", "n_b"), "pairs")
+    pairs = stored(met.select(F.col("x").alias("a"), F.col("x_b").alias("b"), n.alias("n_a"), n_b).distinct(), "pairs")
     more = overlaps(pairs, texts, words).where(linked).select("a", "b")
     whole = components(links.unionByName(more))
     member = sets.join(classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "left")
