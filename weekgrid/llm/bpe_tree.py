@@ -24,7 +24,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from weekgrid.llm.common import rows_of, table, worker_cache
+from weekgrid.llm.common import cached, rows_of, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LEAF = 2048
@@ -149,10 +149,7 @@ def encode_documents(
     """
 
     def run(batches):
-        cache = worker_cache()
-        if ("bpe_tree", path, leaf) not in cache:
-            cache["bpe_tree", path, leaf] = TreeEncoder(path, leaf=leaf)
-        encoder = cache["bpe_tree", path, leaf]
+        encoder = cached(("bpe_tree", path, leaf), lambda: TreeEncoder(path, leaf=leaf))
         for (doc_id,), texts in rows_of(batches):
             n, ids_hash, back_hash, all_ids, all_back = [], [], [], [], []
             for text in texts:

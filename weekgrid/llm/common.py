@@ -31,17 +31,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, across its tasks.
+def cached(key, make):
+    """``make()``, kept for later tasks of this Python worker until another key is asked for.
 
-    Code that travels by value has fresh globals in every task, so loaded
-    tokenizers are kept in a module of their own.
+    Code that travels by value has fresh globals in every task, so a loaded
+    tokenizer is kept in a module of its own; only one, to bound the memory.
     """
     name = "_weekgrid_worker_cache"
     if name not in sys.modules:
         sys.modules[name] = types.ModuleType(name)
         sys.modules[name].items = {}
-    return sys.modules[name].items
+    items = sys.modules[name].items
+    if key not in items:
+        items.clear()
+        items[key] = make()
+    return items[key]
 
 
 def rows_of(batches, size: int = CHUNK_BYTES):

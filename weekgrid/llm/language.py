@@ -12,17 +12,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from weekgrid.llm.common import rows_of, table, worker_cache
+from weekgrid.llm.common import cached, rows_of, table
 
 PROFILE = 300
+CHUNK = 500_000  # bytes of text whose n-grams are held at once
 EDGE = 1  # stands for the start or end of a word; letters have larger numbers
 
 
 def is_letter():
-    cache = worker_cache()
-    if "letters" not in cache:
-        cache["letters"] = np.array([chr(i).isalpha() for i in range(0x110000)])
-    return cache["letters"]
+    return cached("letters", lambda: np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
 
 
 class Grams:
@@ -83,7 +81,7 @@ def profiles(docs: DataFrame, length: int, lang_col: str, text_col: str) -> Data
     """lang, gram, rank (from 0) of the ``length`` most frequent n-grams of all given rows."""
 
     def run(batches):
-        for (lang,), texts in rows_of(batches):
+        for (lang,), texts in rows_of(batches, CHUNK):
             names, group = np.unique(np.array(lang.to_pylist(), object), return_inverse=True)
             grams = Grams(texts)
             who, gram, n = grams.counted(group.astype(np.uint64))
@@ -97,14 +95,17 @@ def profiles(docs: DataFrame, length: int, lang_col: str, text_col: str) -> Data
     return ranked.where(F.col("rank") < length).select("lang", "gram", "rank")
 
 
-def predict(docs: DataFrame, learned: dict[str, list[int]], length: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id (any type, passed through), lang_pred, score; ``learned`` has each language's grams in rank order."""
+def predict(
+    docs: DataFrame, learned: dict[str, list[int]], length: int, id_col: str, text_col: str, keep_text: bool = False
+) -> DataFrame:
+    """doc_id (any type, passed through), lang_pred, score, and the text if asked
+    for; ``learned`` has each language's grams in rank order."""
     languages = sorted(learned)
     known = [np.sort(np.array(learned[x], np.int64)) for x in languages]
     ranks = [np.argsort(np.array(learned[x], np.int64)) for x in languages]
 
     def run(batches):
-        for (doc_id,), texts in rows_of(batches):
+        for (doc_id,), texts in rows_of(batches, CHUNK):
             grams, n = Grams(texts), len(texts)
             doc, gram, count = grams.counted()
             order = np.lexsort((np.arange(len(doc)), -count, doc))
@@ -123,10 +124,15 @@ def predict(docs: DataFrame, learned: dict[str, list[int]], length: int, id_col:
                 pred = [languages[b] if s else "und" for b, s in zip(best, size)]
             else:
                 score, pred = np.zeros(n), ["und"] * n
-            yield pa.RecordBatch.from_arrays([doc_id, pa.array(pred), pa.array(score)], ["doc_id", "lang_pred", "score"])
+            more = {"text": pa.array(texts, pa.binary()).cast(pa.string())} if keep_text else {}
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, pa.array(pred), pa.array(score), *more.values()], ["doc_id", "lang_pred", "score", *more]
+            )
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    if keep_text:
+        schema = schema.add("text", T.StringType())
     return source.mapInArrow(run, schema)
 
 
@@ -165,9 +171,11 @@ def identify(
 def spoken(docs: DataFrame, length: int = PROFILE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows, unchanged, whose text has a language: those without a letter, and
     those that share no n-gram with any profile, go."""
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    found = predict(whole, learn(docs, length, id_col, text_col, lang_col), length, "row", "text")
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") > 0)).select("doc_id.*")
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*[F.col(c) for c in others]).alias("row"), F.col(text_col).alias("text"))
+    found = predict(rows, learn(docs, length, id_col, text_col, lang_col), length, "row", "text", keep_text=True)
+    spoken_ones = found.where((F.col("lang_pred") != "und") & (F.col("score") > 0))
+    return spoken_ones.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc_id.{c}").alias(c) for c in docs.columns])
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

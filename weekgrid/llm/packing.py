@@ -19,11 +19,11 @@ import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from weekgrid.llm.common import rows_of, stored, table, worker_cache
+from weekgrid.llm.common import cached, rows_of, stored, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH, END = 2048, 1
-WORDS = 400_000
+WORDS = 250_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
@@ -83,10 +83,8 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
     the same partition before it."""
 
     def run(batches):
-        cache = worker_cache()
-        if ("packing", path) not in cache:
-            cache["packing", path] = WordEncoder(path)
-        encoder, part, before = cache["packing", path], TaskContext.get().partitionId(), 0
+        encoder = cached(("packing", path), lambda: WordEncoder(path))
+        part, before = TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         for (doc_id,), texts in rows_of(batches):
             ids = [x + end for x in encoder.encode([t or b"" for t in texts])]

@@ -14,7 +14,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weekgrid.llm.common import rows_of, stored, table, worker_cache
+from weekgrid.llm.common import cached, rows_of, stored, table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 HEAD, SAMPLE = 200_000, 32
@@ -22,10 +22,7 @@ SPACE = "▁"  # the model's mark for a space; as text it means the same
 
 
 def model_of(path: str):
-    cache = worker_cache()
-    if ("pieces", path) not in cache:
-        cache["pieces", path] = sentencepiece.SentencePieceProcessor(model_file=path)
-    return cache["pieces", path]
+    return cached(("pieces", path), lambda: sentencepiece.SentencePieceProcessor(model_file=path))
 
 
 def pre_tokens(text: str) -> list[str]:
