@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 import types
 
@@ -9,9 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from weekgrid.session import stored as write_and_read
+from weekgrid.session import scratch_path
 
 CHUNK_BYTES = 1_000_000
+_written: list[str] = []
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -21,10 +23,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     conf = df.sparkSession.conf
     before = conf.get(CLEANUP, None)
     conf.set(CLEANUP, "true")
+    path = scratch_path(df.sparkSession, name)
     try:
-        return write_and_read(df, name)
+        df.write.mode("overwrite").parquet(path)
     finally:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+    _written.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tidy(operator):
+    """Stores the operator's result and deletes the tables it wrote on the way."""
+
+    @functools.wraps(operator)
+    def run(*args, **options):
+        mark = len(_written)
+        result = stored(operator(*args, **options), operator.__name__)
+        spark = result.sparkSession
+        for path in _written[mark:-1]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _written[mark:-1]
+        return result
+
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weekgrid.llm.common import stored
+from weekgrid.llm.common import stored, tidy
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -24,6 +24,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
+@tidy
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge; the component is its smallest
     node. Each round is a stored table; rounds grow with the logarithm of the

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from weekgrid.llm.common import rows_of, stored, table
+from weekgrid.llm.common import rows_of, stored, table, tidy
 from weekgrid.llm.components import components
 from weekgrid.llm.shingles import shingle_sets
 from weekgrid.llm.words import mix
@@ -125,6 +125,7 @@ def signed(rows: DataFrame) -> DataFrame:
     )
 
 
+@tidy
 def jaccard_join(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF, rounds: int = ROUNDS,
     id_col: str = "doc_id", text_col: str = "text",

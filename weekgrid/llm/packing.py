@@ -23,7 +23,7 @@ from weekgrid.llm.common import cached, rows_of, stored, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH, END = 2048, 1
-WORDS = 250_000
+WORDS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 

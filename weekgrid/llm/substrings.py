@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from weekgrid.llm.common import rows_of, stored, table
+from weekgrid.llm.common import rows_of, stored, table, tidy
 from weekgrid.llm.words import WORD_STEP, Runs, Words
 
 K, ANCHOR = 20, 8
@@ -109,6 +109,7 @@ def at_places(spans: DataFrame, *columns: str) -> DataFrame:
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("at"))
 
 
+@tidy
 def repeated_spans(docs: DataFrame, k: int = K, q: int = ANCHOR) -> DataFrame:
     """(doc_id, start, n, src_id, src_start, digest): runs of ``n`` windows whose
     words also start earlier, at the source; compacted, with a digest of the words
