@@ -56,7 +56,8 @@ def check_model(path: str) -> None:
 def count_pieces(path: str):
     @F.pandas_udf(T.LongType())
     def count(words):
-        return words.map(lambda w: len(model_of(path).encode(w, num_threads=1))).astype("int64")
+        # The library gives nothing for an empty text; as a pre-token it is one space mark.
+        return words.map(lambda w: len(model_of(path).encode(w, num_threads=1)) if w else 1).astype("int64")
 
     return count
 
