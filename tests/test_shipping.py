@@ -23,5 +23,5 @@ def test_worker_functions_carry_their_code(tmp_path):
         "assert out[0].to_pydict() == {'a': [1], 'b': [2], 'sxy': [6.0]}, out\n"
         "assert fit(np.arange(30) % 7.0, 1, 1)[2] == 28\n"
     )
-    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr

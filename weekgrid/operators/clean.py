@@ -28,10 +28,11 @@ def first_by_key(df: DataFrame, keys: list[str], prefer: list[str]) -> DataFrame
 
 
 def clean_sales(bronze: DataFrame) -> DataFrame:
-    """Lower-case names, one row per store, department and date, no negative sales."""
-    df = normalise_columns(bronze).withColumn("date", parse_date(F.col("date")))
-    df = first_by_key(df, ["store", "dept", "date"], ["weekly_sales", "isholiday"])
-    return df.withColumn("weekly_sales", clip_low(F.col("weekly_sales")))
+    """Lower-case names, one row per store, department and date text, no negative
+    sales. Dates are parsed after that, so rows with different unreadable dates
+    stay apart, each with a NULL date."""
+    df = first_by_key(normalise_columns(bronze), ["store", "dept", "date"], ["weekly_sales", "isholiday"])
+    return df.withColumns({"date": parse_date(F.col("date")), "weekly_sales": clip_low(F.col("weekly_sales"))})
 
 
 def clean_features(bronze: DataFrame) -> DataFrame:

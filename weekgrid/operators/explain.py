@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from weekgrid.functions.columns import ratio
 from weekgrid.operators.forecast import TARGET, predict
-from weekgrid.operators.metrics import holiday_weight
+from weekgrid.operators.metrics import holiday_weight, scored
 
 BLOCK = 4096
 
@@ -15,7 +15,7 @@ BLOCK = 4096
 def _wmape(df: DataFrame, by: list[str]) -> DataFrame:
     w = holiday_weight(F.col("_holiday"))
     error = w * F.abs(F.col(TARGET) - F.col("prediction"))
-    return df.groupBy(*by).agg((100.0 * ratio(F.sum(error), F.sum(w * F.col(TARGET)))).alias("wmape"))
+    return scored(df, TARGET, "prediction").groupBy(*by).agg((100.0 * ratio(F.sum(error), F.sum(w * F.col(TARGET)))).alias("wmape"))
 
 
 def permutation_importance(

@@ -23,6 +23,11 @@ def same_week_last_year(
     return sales.withColumn("baseline_prediction", earlier).where("baseline_prediction IS NOT NULL")
 
 
+def scored(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Rows with both values: a missing prediction must not count in any term."""
+    return df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+
+
 def weighted_errors(
     df: DataFrame,
     actual: str,
@@ -36,7 +41,7 @@ def weighted_errors(
     w = holiday_weight(F.col(holiday), weight)
     error = w * F.abs(F.col(actual) - F.col(predicted))
     base = F.abs(F.col(actual)) if absolute_base else F.col(actual)
-    return df.groupBy(*(by or [])).agg(
+    return scored(df, actual, predicted).groupBy(*(by or [])).agg(
         F.count("*").alias("n"),
         ratio(F.sum(error), F.sum(w)).alias("wmae"),
         ratio(F.sum(error), F.sum(w * base)).alias("wmape"),
@@ -51,11 +56,12 @@ def forecast_metrics(
     by: list[str] | None = None,
     weight: int = HOLIDAY_WEIGHT,
 ) -> DataFrame:
-    """WMAPE in percent, MAE, RMSE and R2 in one pass, rounded half to even."""
+    """WMAPE in percent, MAE, RMSE and R2 in one pass, rounded half to even, over
+    the rows that have both values."""
     y, e = F.col(actual), F.col(actual) - F.col(predicted)
     w = holiday_weight(F.col(holiday), weight)
     n = F.count("*")
-    return df.groupBy(*(by or [])).agg(
+    return scored(df, actual, predicted).groupBy(*(by or [])).agg(
         F.bround(100.0 * ratio(F.sum(w * F.abs(e)), F.sum(w * y)), 2).alias("wmape"),
         F.bround(F.avg(F.abs(e)), 2).alias("mae"),
         F.bround(F.sqrt(F.avg(e * e)), 2).alias("rmse"),

@@ -11,14 +11,16 @@ _panels: dict[tuple, Panel] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
-    """Length and change time of every source file."""
+    """Path, length and change time of every file of the sources, at any depth."""
     conf = spark._jsc.hadoopConfiguration()
     found = []
     for name in SOURCES:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-        status = path.getFileSystem(conf).getFileStatus(path)
-        found.append((name, status.getLen(), status.getModificationTime()))
-    return tuple(found)
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            status = files.next()
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def panel(spark: SparkSession, sf_dir: str) -> Panel:

@@ -42,12 +42,14 @@ def write_table(
 ) -> None:
     """Overwrite a table, optionally in one directory per partition value.
 
-    Rows are spread over tasks as they come, not gathered by partition value,
-    so a store holding a third of all rows is written by many tasks. ``order_by``
-    sorts the whole table by sampled ranges on its way out.
+    Rows are rebalanced by partition value: small values are gathered into few
+    files, and one that holds a third of all rows is split over many tasks.
+    ``order_by`` sorts the whole table by sampled ranges on its way out.
     """
     if order_by:
         df = df.orderBy(*order_by)
+    elif partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
