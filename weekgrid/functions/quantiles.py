@@ -26,8 +26,9 @@ def quantiles(
     inside it, about 4/accuracy of the group; equal values are counted before
     they are shuffled. Raw rows never meet their bracket in one task per group:
     without ``by`` the brackets, one row per column, are broadcast, and with it
-    every group is spread over ``salts`` tasks. A group no larger than ``accuracy`` is its own bracket.
-    If a bracket ever misses its rank the query fails instead of being wrong.
+    every group is spread over ``salts`` tasks. The largest value below a bracket and the smallest above
+    it are kept too, as a small group's bracket may end one rank beside the wanted one.
+    If a bracket ever misses its rank by more the query fails instead of being wrong.
     """
     by = list(by or [])
     keys = [*by, "column"]
@@ -38,7 +39,6 @@ def quantiles(
         F.count("value").alias("n"),
         F.percentile_approx("value", wanted, accuracy).alias("edge"),
     )
-    small = F.col("n") <= accuracy
     cells = []
     for i, q in enumerate(probs):
         rank = F.ceil(F.lit(q) * F.col("n")) - 1 if discrete else F.lit(q) * (F.col("n") - 1)
@@ -47,8 +47,8 @@ def quantiles(
             F.struct(
                 F.lit(q).alias("prob"),
                 rank.alias("rank"),
-                F.when(small, F.lit(float("-inf"))).otherwise(F.col("edge")[2 * i]).alias("lo"),
-                F.when(small, F.lit(float("inf"))).otherwise(F.col("edge")[2 * i + 1]).alias("hi"),
+                F.col("edge")[2 * i].alias("lo"),
+                F.col("edge")[2 * i + 1].alias("hi"),
             )
         )
     targets = sketch.select(*keys, F.array(*cells).alias("targets"))
@@ -58,20 +58,23 @@ def quantiles(
         met = values.join(targets.withColumn("_salt", F.explode(every)), [*keys, "_salt"])
     else:
         met = values.join(F.broadcast(targets), keys)
-    hits = (
-        met.select(*keys, "value", F.inline("targets"))
-        .where(F.col("value") <= F.col("hi"))
-        .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-    )
+    value = F.col("value")
+    side = F.when(value < F.col("lo"), -1).when(value > F.col("hi"), 1).otherwise(0)
+    hits = met.select(*keys, "value", F.inline("targets")).withColumn("side", side)
     slot = [*keys, "prob", "rank"]
-    counted = hits.groupBy(*slot, "value").agg(F.count("*").alias("c"))
-    upto = Window.partitionBy(*slot).orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("upto", F.sum("c").over(upto))
+    inside = F.when(F.col("side") == 0, value).alias("inside")
+    counted = hits.groupBy(*slot, "side", inside).agg(
+        F.count("*").alias("c"), F.min("value").alias("least"), F.max("value").alias("most")
+    )
+    ranked = counted.withColumn("upto", F.sum("c").over(Window.partitionBy(*slot).orderBy("side", "inside")))
 
     def at(rank: Column) -> Column:
-        return F.min_by(
-            F.struct(F.col("value").alias("v")), F.when(F.col("upto") > rank, F.col("upto"))
-        )["v"]
+        found = (
+            F.when(F.col("side") == 0, F.col("inside"))
+            .when((F.col("side") < 0) & (F.col("upto") - 1 == rank), F.col("most"))
+            .when((F.col("side") > 0) & (F.col("upto") - F.col("c") == rank), F.col("least"))
+        )
+        return F.min_by(F.struct(found.alias("v")), F.when(F.col("upto") > rank, F.col("upto")))["v"]
 
     picked = ranked.groupBy(*slot).agg(
         at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b")

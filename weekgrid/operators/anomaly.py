@@ -106,25 +106,24 @@ class IsolationForest:
 
 def _tree_samples(df: DataFrame, keys: list[str], trees: int, size: int, seed: int, n: int) -> DataFrame:
     """(tree, columns...) with up to ``size`` rows per tree, chosen by hash of
-    the row key: the same rows whatever the partitioning. Groups stay near
-    1.5 x ``size`` rows because the share drawn falls with the table size."""
-    share = min(1.0, 1.5 * size / max(n, 1))
+    the row key: the same rows whatever the partitioning.
+
+    One hash per row draws a pool of about 6 x ``trees`` x ``size`` rows, or all
+    rows of a table that has no more; only the pool is then drawn from for each
+    tree, about 1.5 x ``size`` rows, so a row may serve many trees at any size."""
+    pool = min(1.0, 6.0 * trees * size / max(n, 1))
+    share = min(1.0, 1.5 * size / max(n * pool, 1.0))
     limit = 2**53
 
     def draw(*salt: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], *salt), 11)
 
-    if share * trees >= 0.25:
-        tree = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: draw(F.lit(seed), t) < F.lit(int(share * limit)),
-        )
-        picked = df.withColumn("tree", F.explode(tree))
-    else:
-        # Large table: a row serves one tree at most, found with two hashes.
-        picked = df.where(draw(F.lit(seed)) < F.lit(int(share * trees * limit))).withColumn(
-            "tree", F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 1)), F.lit(trees)).cast("int")
-        )
+    tree = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: draw(F.lit(seed), t) < F.lit(int(share * limit)),
+    )
+    drawn = df.where(draw(F.lit(seed), F.lit("pool")) < F.lit(int(pool * limit)))
+    picked = drawn.withColumn("tree", F.explode(tree))
     first = Window.partitionBy("tree").orderBy(draw(F.lit(seed), F.col("tree"), F.lit(7)), *keys)
     return picked.withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= size)
 

@@ -9,7 +9,6 @@ from weekgrid.functions.longform import melt
 from weekgrid.functions.running import ranges, running_totals
 
 THRESHOLD = 0.1
-FEW_VALUES = 5
 
 
 def sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
@@ -61,13 +60,13 @@ def _js_distance() -> Column:
 
 
 def numeric(
-    reference: DataFrame, current: DataFrame, columns: list[str], threshold: float = THRESHOLD
+    reference: DataFrame, current: DataFrame, columns: list[str], threshold: float = THRESHOLD, few_values: int = 5
 ) -> DataFrame:
     """Wasserstein distance over the reference deviation per column.
 
     Both empirical distributions are accumulated over distinct values in ranges,
     so no column is sorted in one task. The counts feed several passes and are
-    written once. A column of at most five distinct values
+    written once. A column of at most ``few_values`` distinct values
     is compared by Jensen-Shannon distance instead.
     """
     counts = ranges(_counts(reference, current, columns, "double"), ["column"], "value")
@@ -75,7 +74,7 @@ def numeric(
     steps = running_totals(counts, ["column"], "value", ["ref", "cur"]).join(totals, "column")
     gap = F.abs(F.col("ref_upto") / F.col("n_ref") - F.col("cur_upto") / F.col("n_cur"))
     area = F.sum(zero_if_null(gap * (F.col("next_value") - F.col("value"))))
-    few = F.col("n_values") <= FEW_VALUES
+    few = F.col("n_values") <= few_values
     scored = steps.groupBy("column", "n_ref", "n_cur", "n_values", "sd").agg(
         area.alias("area"), _js_distance().alias("js")
     )

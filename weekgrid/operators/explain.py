@@ -6,11 +6,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from weekgrid.functions.columns import ratio
+from weekgrid.functions.running import ranges
 from weekgrid.operators.forecast import TARGET, predict
 from weekgrid.operators.metrics import holiday_weight, scored
 
-BLOCK = 4096
-
 
 def _wmape(df: DataFrame, by: list[str]) -> DataFrame:
     w = holiday_weight(F.col("_holiday"))
@@ -24,23 +23,21 @@ def permutation_importance(
     """(feature, wmape, delta_wmape): how much worse the error gets when one
     column is shuffled.
 
-    A row takes the value of its neighbour in a hash order, within blocks of
-    about 4,096 rows drawn by hash. One window shuffles all columns, then each
-    row unfolds into one variant per column and all variants are scored together.
+    A row takes the value of the next row in a hash order of the whole table,
+    the last row that of the first, so no value is lost. The order is cut into
+    ranges, whose first rows, one per range, are handed to the range before. Then
+    each row unfolds into one variant per column and all are scored together.
     """
-    blocks = F.greatest(F.ceil(df.agg(F.count("*")).scalar() / F.lit(BLOCK)), F.lit(1))
-    names = [F.col(k) for k in keys]
-    placed = df.withColumns(
-        {
-            "_block": F.pmod(F.xxhash64(*names, F.lit(seed)), blocks),
-            "_order": F.xxhash64(*names, F.lit(seed + 1)),
-        }
-    )
-    ring = Window.partitionBy("_block").orderBy("_order", *keys)
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # the last row of a block takes the first row's value, so no value is lost
-    nearby = F.coalesce(F.lead(F.struct(*columns)).over(ring), F.first(F.struct(*columns)).over(whole))
-    shuffled = placed.withColumn("_other", nearby)
+    placed = ranges(df.withColumn("_order", F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 1))), [], "_order")
+    given, order = F.struct(*columns), F.struct("_order", *keys)
+    firsts = placed.groupBy("bucket").agg(F.min_by(given, order).alias("_first"))
+    around = Window.partitionBy(F.lit(0)).orderBy("bucket")
+    every = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.coalesce(F.lead("_first").over(around), F.first("_first").over(every))
+    ends = firsts.select("bucket", following.alias("_following"))
+    inside = Window.partitionBy("bucket").orderBy("_order", *keys)
+    nearby = F.coalesce(F.lead(given).over(inside), F.col("_following"))
+    shuffled = placed.join(F.broadcast(ends), "bucket").withColumn("_other", nearby)
     rest = [c for c in df.columns if c not in columns]
     variants = F.explode(F.array(F.lit("(none)"), *[F.lit(c) for c in columns]))
     spread = shuffled.withColumn("feature", variants).select(

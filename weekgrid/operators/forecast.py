@@ -6,7 +6,7 @@ import math
 import random
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
@@ -19,12 +19,14 @@ TARGET = "weekly_sales"
 MODELS = ("linear", "random_forest", "boosting")
 
 
-def _estimator(model_type: str, train: DataFrame, params: dict):
-    params = dict(params)
+def _estimator(model_type: str, train: DataFrame, params: dict, levels: int):
+    """``levels``: of the category that has most; a tree needs a bin for each."""
+    params = {"maxBins": max(128, levels), **params}
     common = {"featuresCol": "features", "labelCol": "label", "predictionCol": "log_prediction"}
     if model_type == "linear":
         # Ridge with penalty alpha: Spark divides the loss by n and the label by its deviation.
         alpha = params.pop("alpha", 1.0)
+        params.pop("maxBins")
         row = train.agg(F.count("*").alias("n"), F.stddev_pop("label").alias("sd")).first()
         strength = alpha * (row["sd"] or 0.0) / max(row["n"], 1)
         return LinearRegression(
@@ -32,10 +34,10 @@ def _estimator(model_type: str, train: DataFrame, params: dict):
         )
     if model_type == "random_forest":
         return RandomForestRegressor(
-            **common, **{"numTrees": 100, "maxDepth": 15, "maxBins": 128, "seed": 42, **params}
+            **common, **{"numTrees": 100, "maxDepth": 15, "seed": 42, **params}
         )
     if model_type == "boosting":
-        return GBTRegressor(**common, **{"maxIter": 100, "maxDepth": 6, "maxBins": 128, "seed": 42, **params})
+        return GBTRegressor(**common, **{"maxIter": 100, "maxDepth": 6, "seed": 42, **params})
     raise ValueError(f"unknown model type {model_type!r}, expected one of {MODELS}")
 
 
@@ -58,7 +60,9 @@ def fit(
         "features", F.log1p(F.greatest(F.col(TARGET), F.lit(0.0))).alias("label")
     )
     ready = stored(ready, "training-matrix")
-    model = _estimator(model_type, ready, params or {}).fit(ready)
+    indexers = [s for s in features.stages if isinstance(s, StringIndexerModel)]
+    levels = max((len(labels) + 1 for s in indexers for labels in s.labelsArray), default=0)
+    model = _estimator(model_type, ready, params or {}, levels).fit(ready)
     back = SQLTransformer(statement="SELECT *, expm1(log_prediction) AS prediction FROM __THIS__")
     return PipelineModel([*features.stages, model, back])
 

@@ -1,7 +1,7 @@
 """Preparation and model queries.
 
-Registered fits use fewer and shallower trees than the operators' defaults, so
-that a check of every query stays short; they train on all rows.
+Fits have the operators' default size and train on all rows; a model is fitted
+once per panel and shared by the queries that need it.
 """
 
 from __future__ import annotations
@@ -17,16 +17,44 @@ from weekgrid.plans.shared import panel
 from weekgrid.session import scratch_path, stored
 from weekgrid.sources import tables
 
-FOREST = {"numTrees": 20, "maxDepth": 8}
-BOOST = {"maxIter": 15, "maxDepth": 5}
 KEYS = ["store", "dept", "date"]
+_made: dict[tuple, object] = {}
+
+
+def _once(spark, sf_dir, name, make):
+    """``make()``, kept as long as the panel it was made from."""
+    key = (panel(spark, sf_dir), name)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
 
 
 def parts(spark, sf_dir):
-    """Train and validation weeks together, and the test weeks."""
-    labelled = splits.chronological(splits.drop_warmup(panel(spark, sf_dir).stored_gold))
-    train, val, test = splits.parts(stored(labelled, "labelled"))
-    return train, val, test
+    """The train, validation and test weeks."""
+
+    def make():
+        return stored(splits.chronological(splits.drop_warmup(panel(spark, sf_dir).stored_gold)), "labelled")
+
+    return splits.parts(_once(spark, sf_dir, "labelled", make))
+
+
+def fitted(spark, sf_dir, model_type, weeks="train+val"):
+    named = dict(zip(("train", "val", "test"), parts(spark, sf_dir)))
+
+    def make():
+        rows = None
+        for name in weeks.split("+"):
+            rows = named[name] if rows is None else rows.unionByName(named[name])
+        return forecast.fit(rows, model_type)
+
+    return _once(spark, sf_dir, f"{model_type} on {weeks}", make)
+
+
+def tested(spark, sf_dir, model_type):
+    """Test metrics of a model of the train and validation weeks."""
+    _, _, test = parts(spark, sf_dir)
+    found = metrics.forecast_metrics(forecast.predict(fitted(spark, sf_dir, model_type), test))
+    return labelled_metrics(found, model_type)
 
 
 IMPUTED = ["markdown1", "markdown2", "cpi", "unemployment"]
@@ -105,55 +133,47 @@ def labelled_metrics(found, model_type):
 
 @query("forecast_ridge")
 def forecast_ridge(spark, sf_dir):
-    train, val, test = parts(spark, sf_dir)
-    _, found = forecast.fit_evaluate(train.unionByName(val), test, "linear", {"alpha": 1.0})
-    return labelled_metrics(found, "linear")
+    return tested(spark, sf_dir, "linear")
 
 
 @query("forecast_random_forest")
 def forecast_random_forest(spark, sf_dir):
-    train, val, test = parts(spark, sf_dir)
-    _, found = forecast.fit_evaluate(train.unionByName(val), test, "random_forest", FOREST)
-    return labelled_metrics(found, "random_forest")
+    return tested(spark, sf_dir, "random_forest")
 
 
 @query("forecast_gbt")
 def forecast_gbt(spark, sf_dir):
-    train, val, test = parts(spark, sf_dir)
-    _, found = forecast.fit_evaluate(train.unionByName(val), test, "boosting", BOOST)
-    return labelled_metrics(found, "boosting")
+    return tested(spark, sf_dir, "boosting")
 
 
 @query("forecast_fit_score")
 def forecast_fit_score(spark, sf_dir):
     """Refit on train and validation weeks, evaluated on test next to the baseline."""
-    train, val, test = parts(spark, sf_dir)
-    _, found = forecast.fit_evaluate(train.unionByName(val), test, "boosting", BOOST)
+    _, _, test = parts(spark, sf_dir)
     naive = metrics.forecast_metrics(test, predicted="sales_last_year")
-    return labelled_metrics(found, "boosting").unionByName(labelled_metrics(naive, "same_week_last_year"))
+    return tested(spark, sf_dir, "boosting").unionByName(labelled_metrics(naive, "same_week_last_year"))
 
 
 @query("forecast_importances")
 def forecast_importances(spark, sf_dir):
-    train, val, _ = parts(spark, sf_dir)
-    full = train.unionByName(val)
-    return forecast.importances(forecast.fit(full, "random_forest", FOREST), full)
+    train, _, _ = parts(spark, sf_dir)
+    return forecast.importances(fitted(spark, sf_dir, "random_forest"), train)
 
 
 @query("batch_score")
 def batch_score(spark, sf_dir):
     """Saved model, loaded again, over the newest 1,000 rows, through the CSV export."""
-    train, val, _ = parts(spark, sf_dir)
-    model = forecast.saved_and_loaded(forecast.fit(train.unionByName(val), "boosting", BOOST), train)
-    live = forecast.live_window(panel(spark, sf_dir).stored_gold, 1000)
+    gold = panel(spark, sf_dir).stored_gold
+    model = forecast.saved_and_loaded(fitted(spark, sf_dir, "boosting"), gold)
     path = scratch_path(spark, "forecast-csv")
-    tables.write_csv(forecast.score(model, live), path)
+    tables.write_csv(forecast.score(model, forecast.live_window(gold, 1000)), path)
     schema = "store int, dept int, date date, weekly_sales double, predicted_weekly_sales double"
     return tables.read_csv(spark, path, schema)
 
 
 @query("hyperparam_search")
 def hyperparam_search(spark, sf_dir):
+    """A narrower space than the default one, which has up to 1,000 rounds of depth 10."""
     train, val, _ = parts(spark, sf_dir)
     small = {"trees": (5, 12), "depth": (3, 5)}
     return forecast.search(train, val, draws=2, space=small)
@@ -161,25 +181,22 @@ def hyperparam_search(spark, sf_dir):
 
 @query("forecast_permutation_importance")
 def forecast_permutation_importance(spark, sf_dir):
-    train, val, test = parts(spark, sf_dir)
-    model = forecast.fit(train, "random_forest", FOREST)
+    _, val, _ = parts(spark, sf_dir)
     columns = gold_ops.NUMERIC + gold_ops.CATEGORICAL
-    return explain.permutation_importance(model, val, columns, KEYS)
+    return explain.permutation_importance(fitted(spark, sf_dir, "random_forest", "train"), val, columns, KEYS)
 
 
 @query("forecast_shapley")
 def forecast_shapley(spark, sf_dir):
     """Attributions for the first holiday row and the first ordinary row."""
     train, _, _ = parts(spark, sf_dir)
-    model = forecast.fit(train, "random_forest", FOREST)
     columns = gold_ops.NUMERIC + gold_ops.CATEGORICAL
     first = F.min(F.struct(*KEYS, *[c for c in columns if c not in KEYS]))
     rows = train.groupBy("isholiday").agg(first.alias("r")).select("r.*")
-    return explain.shapley(model, rows, train, columns, KEYS, orders=16)
+    return explain.shapley(fitted(spark, sf_dir, "random_forest", "train"), rows, train, columns, KEYS)
 
 
 @query("forecast_recursive_4wk")
 def forecast_recursive_4wk(spark, sf_dir):
-    train, val, test = parts(spark, sf_dir)
-    model = forecast.fit(train.unionByName(val).unionByName(test), "boosting", BOOST)
+    model = fitted(spark, sf_dir, "boosting", "train+val+test")
     return forecast.recursive(model, panel(spark, sf_dir).stored_gold, 4)
