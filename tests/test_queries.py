@@ -9,7 +9,7 @@ import __spark_entry__ as entry_points
 SMALL = "/root/testdata/sf0.001"
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 TABLES = ["nation", "customer", "orders", "lineitem", "events"]
-SLOW = {n for n in QUERIES if n.startswith("forecast_") and n not in SQL} | {"hyperparam_search", "batch_score", "store_elbow"}
+SLOW = {"forecast_gbt", "forecast_fit_score", "forecast_recursive_4wk", "batch_score"}  # boosting at full size
 
 
 @pytest.fixture(scope="module")
