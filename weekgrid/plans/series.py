@@ -1,4 +1,4 @@
-"""Time-series diagnostics of the network total."""
+"""Time-series diagnostics of the network total and of every store."""
 
 from __future__ import annotations
 
@@ -120,3 +120,62 @@ def ccf_fuel_sales(spark, sf_dir):
     )
     named = weekly.withColumn("series", F.lit("network"))
     return rounded(timeseries.cross_correlation(named, ["series"], "fuel", "total"), 6)
+
+
+BY_STORE = """s AS (
+          SELECT store, date, sum(weekly_sales) AS y, avg(fuel_price) AS x FROM gold GROUP BY store, date),
+        c AS (
+          SELECT store, row_number() OVER (PARTITION BY store ORDER BY date) AS t,
+                 y - avg(y) OVER (PARTITION BY store) AS y, x - avg(x) OVER (PARTITION BY store) AS x FROM s),
+        scale AS (SELECT store, sum(y * y) AS yy, sum(x * x) AS xx, count(*) AS n FROM c GROUP BY store)"""
+ACF_BY_STORE = f"""{BY_STORE},
+        acf AS (
+          SELECT a.store, k, coalesce(sum(a.y * b.y), 0) / nullif(any_value(yy), 0) AS r
+          FROM (SELECT unnest(range(61)) AS k) lags JOIN c a ON true JOIN scale ON scale.store = a.store
+          LEFT JOIN c b ON b.store = a.store AND b.t = a.t - k GROUP BY a.store, k)"""
+
+
+def by_store(spark, sf_dir):
+    return panel(spark, sf_dir).stored_gold.groupBy("store", "date").agg(
+        F.sum("weekly_sales").alias("y"), F.avg("fuel_price").alias("fuel")
+    )
+
+
+@query(
+    "acf_60_by_store",
+    f"WITH {ACF_BY_STORE} SELECT store, CAST(k AS INTEGER) AS lag, round(r, 6) AS acf FROM acf",
+)
+def acf_60_by_store(spark, sf_dir):
+    return rounded(timeseries.autocorrelation(by_store(spark, sf_dir), ["store"], "y"), 6)
+
+
+@query(
+    "pacf_60_by_store",
+    f"""WITH RECURSIVE {ACF_BY_STORE},
+    rr AS (SELECT store, list(r ORDER BY k) AS r FROM acf GROUP BY store),
+    step AS (
+      SELECT store, 1 AS k, [r[2]] AS phi, 1 - r[2] * r[2] AS v, r[2] AS pacf, r FROM rr
+      UNION ALL
+      SELECT store, k + 1,
+             list_append(list_transform(range(1, k + 1), lambda i: phi[i] - p * phi[k + 1 - i]), p),
+             v * (1 - p ^ 2), p, r
+      FROM (SELECT *, (r[k + 2] - list_dot_product(phi, list_reverse(r[2:k + 1]))) / v AS p FROM step) WHERE k < 60)
+    SELECT store, CAST(k AS INTEGER) AS lag, round(pacf, 6) AS pacf FROM step
+    UNION ALL SELECT store, 0, 1.0 FROM rr""",
+)
+def pacf_60_by_store(spark, sf_dir):
+    acf = timeseries.autocorrelation(by_store(spark, sf_dir), ["store"], "y")
+    return rounded(timeseries.partial_autocorrelation(acf, ["store"]), 6)
+
+
+@query(
+    "ccf_fuel_sales_by_store",
+    f"""WITH {BY_STORE}
+        SELECT a.store, CAST(k AS INTEGER) AS lag,
+               round(coalesce(sum(a.x * b.y), 0) / nullif(sqrt(any_value(xx) * any_value(yy)), 0), 6) AS ccf,
+               round(1.96 / sqrt(any_value(n)), 6) AS band
+        FROM (SELECT unnest(range(13)) AS k) lags JOIN c a ON true JOIN scale ON scale.store = a.store
+        LEFT JOIN c b ON b.store = a.store AND b.t = a.t - k GROUP BY a.store, k""",
+)
+def ccf_fuel_sales_by_store(spark, sf_dir):
+    return rounded(timeseries.cross_correlation(by_store(spark, sf_dir), ["store"], "fuel", "y"), 6)
