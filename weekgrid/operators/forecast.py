@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+import statistics
+import time
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexerModel
@@ -11,7 +13,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, functions as F
 
 from weekgrid.operators.gold import CATEGORICAL, NUMERIC, with_calendar
-from weekgrid.operators.metrics import forecast_metrics
+from weekgrid.operators.metrics import forecast_metrics, quality_gates, select_candidate
 from weekgrid.operators.prep import fit_features
 from weekgrid.session import scratch_path, stored
 
@@ -118,11 +120,37 @@ def live_window(gold: DataFrame, n: int = 1000) -> DataFrame:
     return gold.na.drop("any").orderBy(*latest).limit(n)
 
 
+def boosting_params(trees: int, rate: float, depth: int, subsample: float, share: float) -> dict:
+    return {
+        "maxIter": trees, "maxDepth": depth, "stepSize": rate, "subsamplingRate": subsample,
+        "featureSubsetStrategy": str(round(share, 4)),
+    }
+
+
+def measured(model: PipelineModel, df: DataFrame, repeats: int = 5) -> tuple[float | None, float]:
+    """Milliseconds to score one row of ``df`` (median of ``repeats``, after one that
+    is not counted; None without a row) and megabytes of the saved model."""
+    spark = df.sparkSession
+    one, times = df.limit(1).collect(), []
+    row = spark.createDataFrame(one, df.schema)
+    for _ in range(repeats + 1 if one else 0):
+        start = time.perf_counter()
+        predict(model, row).collect()
+        times.append(1000 * (time.perf_counter() - start))
+    path = scratch_path(spark, "measured-model")
+    save(model, path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(place).getLength() / 1e6
+    files.delete(place, True)
+    return statistics.median(times[1:]) if one else None, size
+
+
 def search(
     train: DataFrame, val: DataFrame, draws: int = 2, seed: int = 42, space: dict | None = None
 ) -> DataFrame:
     """Random search for boosting parameters: one row per run with its
-    validation metrics. Each fit is a distributed job over the whole table."""
+    validation metrics, measured latency and size. Each fit is a distributed job over the whole table."""
     space = {
         "trees": (50, 1000), "learning_rate": (0.01, 0.3), "depth": (3, 10), "subsample": (0.6, 1.0),
         "feature_share": (0.6, 1.0), **(space or {}),
@@ -134,22 +162,39 @@ def search(
         trees, depth = rng.randint(*space["trees"]), rng.randint(*space["depth"])
         rate = math.exp(rng.uniform(math.log(low), math.log(high)))
         subsample, share = rng.uniform(*space["subsample"]), rng.uniform(*space["feature_share"])
-        params = {
-            "maxIter": trees, "maxDepth": depth, "stepSize": rate, "subsamplingRate": subsample,
-            "featureSubsetStrategy": str(round(share, 4)),
-        }
-        _, metrics = fit_evaluate(train, val, "boosting", params)
+        drawn = (trees, rate, depth, subsample, share)
+        model, metrics = fit_evaluate(train, val, "boosting", boosting_params(*drawn))
         found = metrics.first()
-        rows.append(
-            (f"run_{i:03d}", found["wmape"], found["mae"], found["rmse"], found["r2"], trees, rate, depth, subsample, share)
-        )
+        errors = (found["wmape"], found["mae"], found["rmse"], found["r2"])
+        rows.append((f"run_{i:03d}", *errors, *measured(model, val), *drawn))
     return val.sparkSession.createDataFrame(
         rows,
-        "run_id string, wmape_val double, mae_val double, rmse_val double, r2_val double, n_estimators int,"
-        " learning_rate double, max_depth int, subsample double, colsample double",
+        "run_id string, wmape_val double, mae_val double, rmse_val double, r2_val double, latency_ms double,"
+        " model_size_mb double, n_estimators int, learning_rate double, max_depth int, subsample double, colsample double",
     )
 
 
+def champion(
+    runs: DataFrame, train: DataFrame, val: DataFrame, test: DataFrame, max_wmape: float = 8.5, **gates
+) -> tuple[PipelineModel | None, DataFrame]:
+    """The selected run refitted on train and validation weeks, and one row of its
+    test metrics, measured latency and size, and gates. No model and no row if no
+    run has an error below ``max_wmape``."""
+    chosen = select_candidate(runs, max_wmape).select(
+        "run_id", "n_estimators", "learning_rate", "max_depth", "subsample", "colsample"
+    ).first()
+    if chosen is None:
+        model, run_id, figures = None, None, (None, None)
+        found = forecast_metrics(test, predicted=TARGET).limit(0)
+    else:
+        run_id, *drawn = chosen
+        model, found = fit_evaluate(train.unionByName(val), test, "boosting", boosting_params(*drawn))
+        figures = measured(model, test)
+    names = {"run_id": F.lit(run_id).cast("string")}
+    names |= {n: F.lit(v).cast("double") for n, v in zip(("latency_ms", "model_size_mb"), figures)}
+    return model, quality_gates(found.withColumns(names), **gates)
+
+
 def direct_year(gold: DataFrame, days: int = 364) -> DataFrame:
     """The 52 weeks after the last date from the anchor of a year before: a week's
     forecast is the same week's latest sales, with no recursion."""

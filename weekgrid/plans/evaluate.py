@@ -72,73 +72,57 @@ def forecast_metrics_by_store(spark, sf_dir):
     return metrics.forecast_metrics(scored_test(spark, sf_dir), by=["store", "dept"])
 
 
-# Runs for the selection: one naive forecast per lag, evaluated on every store.
-RUNS_SQL = """runs AS (
-    SELECT 'lag_1_store_' || store AS run_id,
-           round(sum(abs(weekly_sales - lag_1_sales)) / nullif(sum(weekly_sales), 0) * 4, 4) AS wmape_val,
-           CASE WHEN store % 3 = 0 THEN NULL ELSE round(count(*) / 100.0, 4) END AS latency_ms,
-           CASE WHEN store % 4 = 0 THEN NULL ELSE round(count(DISTINCT dept) / 2.0, 4) END AS model_size_mb
-    FROM warm GROUP BY store
-    UNION ALL
-    SELECT 'lag_52_store_' || store,
-           round(sum(abs(weekly_sales - sales_last_year)) / nullif(sum(weekly_sales), 0) * 4, 4),
-           CASE WHEN store % 5 = 0 THEN NULL ELSE round(count(*) / 150.0, 4) END,
-           round(count(DISTINCT dept) / 3.0, 4)
-    FROM warm GROUP BY store)"""
+# Runs for the selection: one naive forecast per lag and store. They have no model,
+# so latency and size are missing and count as the selection's defaults.
+NAIVE = {"lag_1": "lag_1_sales", "lag_52": "sales_last_year"}
+RUNS_SQL = "runs AS (" + " UNION ALL ".join(
+    f"""SELECT '{label}_store_' || store AS run_id,
+           round(sum(abs(weekly_sales - {column})) / nullif(sum(weekly_sales), 0) * 100, 4) AS wmape_val,
+           CAST(NULL AS DOUBLE) AS latency_ms, CAST(NULL AS DOUBLE) AS model_size_mb
+    FROM warm WHERE {column} IS NOT NULL GROUP BY store"""
+    for label, column in NAIVE.items()
+) + ")"
 
 
 def naive_runs(spark, sf_dir):
     warm = splits.drop_warmup(panel(spark, sf_dir).stored_gold)
-    sales, store = F.col("weekly_sales"), F.col("store")
-
-    def runs(label, column, skip_latency, rows_per_ms, skip_size, size):
-        wmape = F.sum(F.abs(sales - F.col(column))) / F.nullif(F.sum(sales), F.lit(0.0)) * 4
-        return (
-            warm.groupBy("store")
-            .agg(
-                F.round(wmape, 4).alias("wmape_val"),
-                F.round(F.count("*") / F.lit(rows_per_ms), 4).alias("latency_ms"),
-                F.round(F.count_distinct("dept") / F.lit(size), 4).alias("model_size_mb"),
-            )
-            .select(
-                F.concat(F.lit(label), store.cast("string")).alias("run_id"),
-                "wmape_val",
-                F.when(store % skip_latency != 0, F.col("latency_ms")).alias("latency_ms"),
-                (F.when(store % skip_size != 0, F.col("model_size_mb")) if skip_size else F.col("model_size_mb")).alias(
-                    "model_size_mb"
-                ),
-            )
+    sales, missing = F.col("weekly_sales"), F.lit(None).cast("double")
+    runs = [
+        warm.where(F.col(column).isNotNull()).groupBy("store").agg(
+            F.round(F.sum(F.abs(sales - F.col(column))) / F.nullif(F.sum(sales), F.lit(0.0)) * 100, 4).alias("wmape_val")
+        ).select(
+            F.concat(F.lit(f"{label}_store_"), F.col("store").cast("string")).alias("run_id"),
+            "wmape_val", missing.alias("latency_ms"), missing.alias("model_size_mb"),
         )
-
-    return runs("lag_1_store_", "lag_1_sales", 3, 100.0, 4, 2.0).unionByName(
-        runs("lag_52_store_", "sales_last_year", 5, 150.0, None, 3.0)
-    )
+        for label, column in NAIVE.items()
+    ]
+    return runs[0].unionByName(runs[1])
 
 
 @query(
     "pareto_best_run",
-    f"""WITH {RUNS_SQL}, shortlist AS (SELECT * FROM runs WHERE wmape_val < 8.5 ORDER BY wmape_val, run_id LIMIT 10)
+    f"""WITH {RUNS_SQL}, shortlist AS (SELECT * FROM runs WHERE wmape_val < 1000 ORDER BY wmape_val, run_id LIMIT 10)
         SELECT *, round(coalesce(wmape_val, 10) * 0.7 + coalesce(latency_ms, 50) * 0.2
                         + coalesce(model_size_mb, 5) * 0.1, 6) AS score
         FROM shortlist ORDER BY score, run_id LIMIT 1""",
 )
 def pareto_best_run(spark, sf_dir):
-    return rounded(metrics.select_candidate(naive_runs(spark, sf_dir)), 6, ["score"])
+    """Errors of the derived panel are far above the default limit, so it is wide here."""
+    return rounded(metrics.select_candidate(naive_runs(spark, sf_dir), max_wmape=1000.0), 6, ["score"])
 
 
 @query(
     "quality_gates",
     f"""WITH {SCORED_SQL}, m AS (
-          SELECT store, {METRIC_SQL}, count(*) / 20.0 AS latency_ms FROM scored GROUP BY store)
-        SELECT *, wmape <= 85.0 AS pass_wmape, r2 >= -0.05 AS pass_r2, latency_ms <= 25.0 AS pass_latency,
-               coalesce(wmape <= 85.0 AND r2 >= -0.05 AND latency_ms <= 25.0, false) AS promoted
+          SELECT store, {METRIC_SQL}, CAST(NULL AS DOUBLE) AS latency_ms FROM scored GROUP BY store)
+        SELECT *, wmape <= 8.5 AS pass_wmape, r2 >= 0.95 AS pass_r2, latency_ms <= 25.0 AS pass_latency,
+               coalesce(wmape <= 8.5 AND r2 >= 0.95 AND latency_ms <= 25.0, false) AS promoted
         FROM m""",
 )
 def quality_gates(spark, sf_dir):
-    scored = scored_test(spark, sf_dir)
-    by_store = metrics.forecast_metrics(scored, by=["store"])
-    sizes = scored.groupBy("store").agg((F.count("*") / F.lit(20.0)).alias("latency_ms"))
-    return metrics.quality_gates(by_store.join(sizes, "store"), max_wmape=85.0, min_r2=-0.05)
+    """The default limits; a forecast without a model has no latency, so it is never promoted."""
+    by_store = metrics.forecast_metrics(scored_test(spark, sf_dir), by=["store"])
+    return metrics.quality_gates(by_store.withColumn("latency_ms", F.lit(None).cast("double")))
 
 
 @query(

@@ -173,12 +173,24 @@ def batch_score(spark, sf_dir):
     return tables.read_csv(spark, path, schema)
 
 
+def searched(spark, sf_dir):
+    train, val, _ = parts(spark, sf_dir)
+    small = {"trees": (5, 12), "depth": (3, 5)}
+    return _once(spark, sf_dir, "search", lambda: forecast.search(train, val, draws=2, space=small))
+
+
 @query("hyperparam_search")
 def hyperparam_search(spark, sf_dir):
     """A narrower space than the default one, which has up to 1,000 rounds of depth 10."""
-    train, val, _ = parts(spark, sf_dir)
-    small = {"trees": (5, 12), "depth": (3, 5)}
-    return forecast.search(train, val, draws=2, space=small)
+    return searched(spark, sf_dir)
+
+
+@query("champion_gates")
+def champion_gates(spark, sf_dir):
+    """Search, selection, refit and the deployment gates at their default limits. The
+    selection takes any error, as no model of the derived panel is below the default."""
+    _, gates = forecast.champion(searched(spark, sf_dir), *parts(spark, sf_dir), max_wmape=float("inf"))
+    return gates
 
 
 @query("forecast_permutation_importance")
