@@ -77,6 +77,26 @@ def test_unknown_model_type(spark):
         forecast.fit(toy(spark), "oracle", {}, NUM, CAT)
 
 
+def test_measured_figures_of_a_model(spark):
+    df = toy(spark)
+    model = forecast.fit(df.where("x IS NOT NULL"), "linear", {"alpha": 0.01}, NUM, CAT)
+    latency, size = forecast.measured(model, df, repeats=2)
+    assert latency > 0 and 0 < size < 1
+    assert forecast.measured(model, df.limit(0)) == (None, size)
+
+
+def test_no_champion_without_a_run_below_the_limit(spark):
+    runs = spark.createDataFrame(
+        [("run_000", 50.0, 20.0, 1.0, 5, 0.1, 3, 1.0, 1.0)],
+        "run_id string, wmape_val double, latency_ms double, model_size_mb double, n_estimators int,"
+        " learning_rate double, max_depth int, subsample double, colsample double",
+    )
+    df = toy(spark)
+    model, gates = forecast.champion(runs, df, df, df)
+    assert model is None and gates.count() == 0
+    assert {"wmape", "r2", "run_id", "latency_ms", "pass_latency", "promoted"} <= set(gates.columns)
+
+
 def test_attributions(spark):
     df = toy(spark).where("x IS NOT NULL")
     model = forecast.fit(df, "random_forest", {"numTrees": 10, "maxDepth": 6}, NUM, CAT)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weekgrid.functions.columns import rounded
-from weekgrid.operators import explain, forecast, metrics, prep, splits
+from weekgrid.operators import drift, explain, forecast, metrics, prep, splits
 from weekgrid.operators import gold as gold_ops
 from weekgrid.plans.profile import typed_features
 from weekgrid.plans.registry import query
@@ -193,6 +193,18 @@ def champion_gates(spark, sf_dir):
     return gates
 
 
+@query("drift_model_predictions")
+def drift_model_predictions(spark, sf_dir):
+    """Drift of the target and of the forest's predictions, training against test weeks."""
+    train, _, test = parts(spark, sf_dir)
+    model = fitted(spark, sf_dir, "random_forest", "train")
+    sides = [
+        forecast.predict(model, side).select(F.col("weekly_sales").alias("target"), "prediction")
+        for side in (train, test)
+    ]
+    return rounded(drift.numeric(*sides, ["target", "prediction"]), 6)
+
+
 @query("forecast_permutation_importance")
 def forecast_permutation_importance(spark, sf_dir):
     _, val, _ = parts(spark, sf_dir)
