@@ -136,6 +136,14 @@ def test_secrets(spark):
     assert clean[0] == "é token = '[SECRET]' end" and clean[3] == texts[3] and clean[1] is None
 
 
+def test_secret_digest_is_by_start(spark):
+    key, run, word = "AKIA" + "B7" * 8, "0a" * 16, "password=longenough1"
+    rows = spark.createDataFrame([(0, f"{run} {key} {word}", "s"), (1, f"token={run}", "s")], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["base_sha256"] for r in secret_scan.scan(rows).collect()}
+    want = {0: "hex:0:32,access:33:53,assign:54:74", 1: "assign:0:38,hex:6:38"}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
+
+
 def test_language(spark, docs, empty):
     made = [(i, (f"{w} " * (3 + i % 5)), lang, "s") for i in range(200) for w, lang in [(("the thing", "en"), ("über straße", "de"))[i % 2]]]
     rows = spark.createDataFrame(made + [(900, None, "en", "s"), (901, "12 ..", "en", "s")], docs.schema)

@@ -36,7 +36,7 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     found = [(0, *m.span(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     found += [(1, *m.span(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     found += [(2, *m.span(), m[0]) for m in HEX.finditer(text)]
-    return sorted(found)
+    return sorted(found, key=lambda s: (s[1], s[0]))
 
 
 def looks_random(value: str, least: float = ENTROPY) -> bool:
