@@ -88,6 +88,22 @@ def test_jaccard(docs, empty):
     assert jaccard.jaccard_join(empty).count() == 0
 
 
+def test_jaccard_chain_that_drifts_from_its_pivot(spark):
+    """A long text, a chain of ever shorter ones that moves away from it, and one
+    that links with the chain's end only, in regions whose pivot is the long text."""
+    made = [f"w{i}" for i in range(87)]
+    value = {w: jaccard.shingle_sets([w.encode()], 1)[1][0] for w in made}
+    made.sort(key=value.get)
+    common, own, line = made[:7], made[7:12], made[12:]
+    sets = [set(common + line[3 * i : 47 + 2 * i]) for i in range(15)]
+    sets.append(set(common + own + line[45:75]))
+    links = [(a, b) for b in range(16) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert [a for a, b in links if b == 15] == [14] and {b for _, b in links} == set(range(1, 16))
+    rows = spark.createDataFrame([(i, " ".join(sorted(s))) for i, s in enumerate(sets)], "doc_id long, text string")
+    got = jaccard.jaccard_join(rows, words=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict.fromkeys(range(16), 0)
+
+
 def test_byte_bpe(docs):
     with open(bpe_tree.VOCABULARY, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}

@@ -178,7 +178,9 @@ def jaccard_join(
         gap = F.when(F.col("x") == F.col("p"), 0.0).otherwise(F.coalesce(
             1 - F.col("shared") / (F.col("n") + F.col("n_p") - F.col("shared")), 1 - F.least("n", "n_p") / F.greatest("n", "n_p")))
         at = around.join(measured.select(F.col("a").alias("x"), F.col("b").alias("p"), "shared"), ["x", "p"], "left")
-        at = at.withColumn("gap", gap)
+        # What was not measured may be as far as 1, so it cannot leave the window.
+        far = F.when((F.col("x") == F.col("p")) | F.col("shared").isNotNull(), gap).otherwise(1.0)
+        at = at.withColumn("gap", gap).withColumn("far", far)
         at = at.join(part.select(F.col("node").alias("x"), F.col("component").alias("c_x")), "x", "left")
         at = at.join(part.select(F.col("node").alias("p"), F.col("component").alias("c_p")), "p", "left")
         at = at.withColumn("inside", F.coalesce("c_x", "x") == F.coalesce("c_p", "p"))
@@ -187,7 +189,7 @@ def jaccard_join(
         # The pivot goes, it has been compared with all; its distances are rounded,
         # so the window is opened by a little.
         stay = at.join(nearest, "s").where(
-            (F.col("x") != F.col("p")) & (~F.col("inside") | (F.col("gap") >= F.col("nearest") - (1 - percent / 100) - 1e-9))
+            (F.col("x") != F.col("p")) & (~F.col("inside") | (F.col("far") >= F.col("nearest") - (1 - percent / 100) - 1e-9))
         ).select("s", "x", "n", "rank", F.col("inside").cast("int").alias("beyond"))
         sizes = stay.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         kept = stored(stay.join(sizes, "s"), "rest")
