@@ -211,3 +211,19 @@ def test_winnowing(docs, empty):
         assert [int(x.split(":")[0]) for x in text.split(",") if x] == places
         assert [x.split(":")[1] for x in text.split(",") if x] == [f"{h[p] & (2**64 - 1):X}" for p in places]
     assert k >= 1 and winnowing.compare(empty).count() == 0
+
+
+def test_winnowing_without_spaces(spark):
+    letters = list("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏😀ab")
+    passage = "".join(np.random.default_rng(5).choice(letters, 200))
+    k, w, n = winnowing.K, winnowing.W, winnowing.TOKEN
+    least = passage[: n + w + k - 2]
+    texts = [passage, "é12" + passage, passage[:100] + "x" + passage[100:], f"q{least}77777", f"abc 12345{least}zz ü"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in winnowing.compare(rows, buckets=1).collect()}
+    assert got[1]["near_next"] > 0.9 and got[2]["near_next"] > 0.7
+    prints = {i: {x.split(":")[1] for x in r["fingerprint"].split(",")} for i, r in got.items()}
+    assert prints[0] & prints[3] and prints[3] & prints[4]
+    want = {"one two": ["one", "two"], "a" * 12: ["a" * 12], "b abcdefghijkl😀\nc": ["b", "abcdefghijkl", "bcdefghijkl😀", "c"], "😀é ": ["😀é"]}
+    found = spark.createDataFrame([(t,) for t in want], "text string")
+    assert {r["text"]: r["t"] for r in found.select("text", winnowing.tokens(found["text"]).alias("t")).collect()} == want

@@ -1,9 +1,11 @@
 """Winnowing fingerprints with DataFrame functions only.
 
-Tokens are runs of up to ``TOKEN`` characters without white space. Every run of
-``k`` tokens gets a 64-bit hash, and of every ``w`` neighbouring hashes the
-smallest is kept, the rightmost of equal ones, with its position. Two texts that
-share a run of ``w + k - 1`` tokens therefore share a fingerprint.
+Tokens are runs of up to ``TOKEN`` characters without white space; a longer run
+has one at each of its characters, the ``TOKEN`` characters from there, so they do
+not depend on where the run starts. Every run of ``k`` tokens gets a 64-bit hash,
+and of every ``w`` neighbouring hashes the smallest is kept, the rightmost of equal
+ones, with its position. Two texts that share a run of ``w + k - 1`` tokens (inside
+long runs, ``TOKEN + w + k - 2`` characters) therefore share a fingerprint.
 """
 
 from __future__ import annotations
@@ -22,7 +24,10 @@ def let(value: Column, body) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]{1,%d}" % TOKEN), F.lit(0))
+    c = r"[^\x20\x09-\x0D]"
+    short = rf"(?<!{c}){c}{{1,{TOKEN - 1}}}+(?!{c})"
+    # A short run is passed as a whole, a long one by single characters.
+    return F.regexp_extract_all(text, F.lit(rf"(?=({short}|{c}{{{TOKEN}}}))(?:{short}|{c})"), F.lit(1))
 
 
 def gram_hashes(text: Column, k: int = K) -> Column:
