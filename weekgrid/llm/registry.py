@@ -15,6 +15,9 @@ OPERATORS = {
     "op8_chat_rotation": "chat",
     "op9_winnowing": "winnowing",
     "op10_byte_bpe": "bpe_tree",
+    "op11_merkle_manifest": "merkle",
+    "op12_exact_topk": "topk",
+    "op13_whitening": "whitening",
 }
 
 
