@@ -161,10 +161,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(k) for k in KINDS])
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    # A predicate of two parameters would get the position as its second.
+    of_kind = lambda k: lambda s: s["kind"] == k
     found = scan(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
-        *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        *[count(of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
         "base_sha256",
         F.array_join(F.transform("spans", lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["stop"])), ",").alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
