@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from weekgrid.llm.common import table
+from weekgrid.llm.order import ranked
 
 PART = 1024
 
@@ -18,25 +19,26 @@ def rotate(
     turns: DataFrame, part_turns: int = PART, conv_col: str = "conv_id", turn_col: str = "turn",
     role_col: str = "role", text_col: str = "text",
 ) -> DataFrame:
-    """One row per dialogue, perspective and part, where a part holds the turns
-    numbered ``part * part_turns`` and up, ``part_turns`` of them, so that a very
-    long dialogue never meets in one group. ``start`` is where the part begins in
-    the whole rendering; ``mask`` has its own spans as start:end in code points.
+    """One row per dialogue, perspective and part. The rows of a dialogue are numbered
+    from 0 by turn, role and text; a part holds those from ``part * part_turns`` on,
+    ``part_turns`` at most, so that neither a very long dialogue nor many rows of one
+    turn ever meet in one group. ``start`` is where the part begins in the whole
+    rendering; ``mask`` has its own spans as start:end in code points.
 
     Lines are ``name: text`` and a line feed; the span is the text alone. A null
     text is empty. A null or empty role is the speaker ``unknown``. A null
-    conversation is a dialogue of its own, a null turn comes first in part 0.
-    Rows repeated in all four columns count once; other ties of turn are ordered
-    by role, then text. An empty table gives no rows.
+    conversation is a dialogue of its own, null turns come first. Every row is a
+    line, also where it repeats another one. An empty table gives no rows.
     """
     role = F.when(F.trim(F.coalesce(role_col, F.lit(""))) == "", "unknown").otherwise(F.col(role_col))
     said = turns.select(
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
         role.alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    ).distinct()
-    part = F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(0)).cast("long")
-    parts = said.groupBy("conv_id", part.alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
+        F.monotonically_increasing_id().alias("row"),
+    )
+    said = ranked(said, ["conv_id"], ["turn", "role", "text", "row"], "turns")
+    parts = said.groupBy("conv_id", F.floor(F.col("rank") / part_turns).alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("rank", "role", "text"))).alias("turns")
     )
     speakers = said.groupBy("conv_id", "role").agg(F.lit(1).alias("one")).select(
         F.col("conv_id").alias("of"), F.col("role").alias("perspective")
@@ -70,23 +72,25 @@ def rotate(
 
 
 ORACLE_SQL = """
-WITH said AS (
-  SELECT DISTINCT conv_id, turn, CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE role END AS role,
-         coalesce(text, '') AS text, coalesce(CAST(floor(turn / 1024.0) AS BIGINT), 0) AS part
+WITH rows AS (
+  SELECT conv_id, turn, CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE role END AS role, coalesce(text, '') AS text
   FROM conversations),
+said AS (
+  SELECT *, rank // 1024 AS part
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS rank FROM rows)),
 speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM said),
 lines AS (
-  SELECT s.conv_id, p.perspective, s.part, s.turn, s.role, s.text, s.role = p.perspective AS own,
+  SELECT s.conv_id, p.perspective, s.part, s.rank, s.role, s.text, s.role = p.perspective AS own,
          CASE WHEN s.role = p.perspective THEN 'assistant' ELSE 'user ' || s.role END || ': ' AS head
   FROM said s JOIN speakers p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
 placed AS (
   SELECT *, sum(length(head) + length(text) + 1) OVER w - length(text) - 1 AS a
   FROM lines
-  WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+  WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY rank ROWS UNBOUNDED PRECEDING)),
 grouped AS (
   SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_masked,
-         string_agg(head || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
-         coalesce(string_agg(CAST(a AS BIGINT) || ':' || CAST(a + length(text) AS BIGINT), ',' ORDER BY turn NULLS FIRST, role, text)
+         string_agg(head || text || chr(10), '' ORDER BY rank) AS rendered,
+         coalesce(string_agg(CAST(a AS BIGINT) || ':' || CAST(a + length(text) AS BIGINT), ',' ORDER BY rank)
                   FILTER (WHERE own), '') AS mask
   FROM placed GROUP BY ALL)
 SELECT conv_id, perspective, part,
