@@ -91,8 +91,10 @@ def profiles(docs: DataFrame, length: int, lang_col: str, text_col: str) -> Data
 
     counts = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(run, "lang string, gram long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    ranked = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order) - 1)
-    return ranked.where(F.col("rank") < length).select("lang", "gram", "rank")
+    # A limit on the row number itself is applied by every task before the shuffle, so
+    # that the rows of a language do not all meet.
+    numbered = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("place", F.row_number().over(order))
+    return numbered.where(F.col("place") <= length).select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 def predict(
