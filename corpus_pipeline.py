@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weekgrid.llm import jaccard, language, packing, secret_scan, substrings
 from weekgrid.llm.common import stored
@@ -16,14 +16,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each linked group stays; of rows
-    repeated with their id, one does. Rows without an id all stay."""
-    groups = jaccard.jaccard_join(docs)
-    copies = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    first = Window.partitionBy("doc_id", "__row").orderBy("text")
-    kept = docs.join(copies.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return kept.withColumn("__row", own).withColumn("__rank", F.row_number().over(first)).where("__rank = 1").select(docs.columns)
+    """Of each linked group one row stays, that with the smallest id, then text (null
+    ids last). A row is a document of its own, whatever its id: rows that share one
+    but do not link all stay. ``docs`` is a Parquet table, so a row's number is the
+    same in every scan."""
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "text"
+    )
+    groups = jaccard.jaccard_join(numbered.select("row", "text"), id_col="row")
+    linked = groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    shared = linked.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+    members = linked.join(shared, "group").join(numbered.drop("text"), "row")
+    order = F.struct("none", "doc_id", "hash", "row")
+    first = members.groupBy("group").agg(F.min(order).alias("kept")).select("kept.row", F.lit(True).alias("kept"))
+    copies = members.select("row").join(first, "row", "left").where(F.col("kept").isNull()).select("row")
+    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(c) for c in docs.columns]).alias("whole"))
+    return whole.join(copies.hint("shuffle_hash"), "row", "left_anti").select("whole.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
