@@ -6,10 +6,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
 import tokenizers
+from pyspark.sql import functions as F
 
 from weekgrid.llm import bpe_tree, chat, embeddings, jaccard, language, packing, pieces, secret_scan, substrings, winnowing
 
@@ -124,6 +126,29 @@ def test_token_counts(docs, empty):
     assert pieces.token_counts(empty).count() == 0
 
 
+def test_word_encoder():
+    core = tokenizers.Tokenizer.from_file(packing.VOCABULARY)
+    texts = [(t or "").encode() for t in TEXTS] + ["\x0b a\x0cb  \r\n c\x1cd\x85e\u2003f \xa0".encode(), b" ", "\t".encode()] * 2
+    for size in (0, 5, 400_000):
+        encoder = packing.WordEncoder(packing.VOCABULARY, size)
+        for part in (texts, texts[::-1], texts[5:9], [b""], [None], texts):
+            ids, sizes = encoder.encode(pa.array(part, pa.large_binary()))
+            mine = np.split(ids, np.cumsum(sizes)[:-1])
+            want = [core.encode((t or b"").decode(), add_special_tokens=False).ids for t in part]
+            assert [x.tolist() for x in mine] == want and len(encoder.known) <= size
+
+
+def test_packing_of_long_and_repeated_rows(spark):
+    rows = spark.createDataFrame([(None, "many words " * 3000), (3, "x"), (3, "x"), (None, None)], "doc_id long, text string").withColumns({"part": F.lit(1), "ids": F.lit(2)})
+    got = packing.pack(rows).collect()
+    core = tokenizers.Tokenizer.from_file(packing.VOCABULARY)
+    want = {len(core.encode(t or "", add_special_tokens=False).ids) + 1: n for t, n in (("many words " * 3000, 1), ("x", 2), (None, 1))}
+    for length, n in want.items():
+        mine = [r for r in got if r["doc_tokens"] == length]
+        assert sum(r["length"] for r in mine) == n * length
+    assert sum(r["length"] for r in got) == sum(k * n for k, n in want.items()) and any(r["start"] > 0 for r in got)
+
+
 def test_packing(docs, empty):
     core = tokenizers.Tokenizer.from_file(packing.VOCABULARY)
     want = {i: core.encode(t or "", add_special_tokens=False).ids + [1] for i, t, *_ in ROWS}
@@ -184,7 +209,7 @@ def test_embeddings(spark):
 
 
 def test_chat(spark):
-    rows = spark.createDataFrame([(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 2, "ann", "é!"), (1, 2, "ann", "é!")], "conv_id long, turn long, role string, text string")
+    rows = spark.createDataFrame([(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 2, "ann", "é!")], "conv_id long, turn long, role string, text string")
     got = {r["perspective"]: r for r in chat.rotate(rows).collect()}
     assert got["ann"]["rendered"] == "assistant: hi\nuser bob: \nassistant: é!\n"
     for r in got.values():
@@ -194,6 +219,20 @@ def test_chat(spark):
     assert "".join(p["rendered"] for p in parts) == got["ann"]["rendered"] and parts[1]["start"] == len(parts[0]["rendered"])
 
 
+def test_chat_keeps_every_turn(spark):
+    """Null, tied and repeated turns are lines of their own, and parts stay bounded."""
+    made = [(1, None, "ann", "ok"), (1, None, "ann", "ok"), (1, 3, "bob", "no"), (1, 3, "ann", "yes"), (1, 3, "ann", "yes"), (1, 2, " ", None)]
+    made += [(None, None, None, "ok")] * 7
+    rows = spark.createDataFrame([(*r, 1, 2) for r in made], "conv_id long, turn long, role string, text string, part int, rank int").repartition(4)
+    got = chat.rotate(rows, part_turns=2).orderBy("part").collect()
+    ann = [r for r in got if r["conv_id"] == 1 and r["perspective"] == "ann"]
+    assert "".join(r["rendered"] for r in ann) == "assistant: ok\nassistant: ok\nuser unknown: \nassistant: yes\nassistant: yes\nuser bob: no\n"
+    lone = [r for r in got if r["conv_id"] is None]
+    assert [r["n_turns"] for r in lone] == [2, 2, 2, 1] and "".join(r["rendered"] for r in lone) == "assistant: ok\n" * 7
+    assert max(r["n_turns"] for r in got) <= 2
+    assert chat.rotate(rows.limit(0)).count() == 0
+
+
 def test_winnowing(docs, empty):
     got = {r["doc_id"]: r for r in winnowing.compare(docs, buckets=5).collect()}
     for i, t, *_ in ROWS:

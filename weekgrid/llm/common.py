@@ -8,6 +8,7 @@ import types
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from weekgrid.session import scratch_path
@@ -70,17 +71,23 @@ def cached(key, make):
     return items[key]
 
 
-def rows_of(batches, size: int = CHUNK_BYTES):
-    """Slices of the batches whose text column (the last) has about ``size``
-    bytes; a longer text comes alone. Yields (columns before it, texts as bytes or None)."""
+def slices_of(batches, size: int = CHUNK_BYTES):
+    """Slices of the batches whose text column (the last) has about ``size`` bytes; a
+    longer text comes alone. Yields (columns before it, texts as large binary)."""
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1)
-        sizes = np.cumsum([0, *(len(t.as_buffer()) if t.is_valid else 0 for t in texts.cast(pa.large_binary()))])
+        texts = batch.column(batch.num_columns - 1).cast(pa.large_binary())
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        sizes = np.concatenate([[0], np.cumsum(lengths)])
         start = 0
         while start < batch.num_rows:
             stop = int(np.searchsorted(sizes, sizes[start] + size, side="right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             part = batch.slice(start, stop - start)
-            columns = [part.column(i) for i in range(part.num_columns - 1)]
-            yield columns, part.column(part.num_columns - 1).cast(pa.large_binary()).to_pylist()
+            yield [part.column(i) for i in range(part.num_columns - 1)], texts.slice(start, stop - start)
             start = stop
+
+
+def rows_of(batches, size: int = CHUNK_BYTES):
+    """``slices_of`` with the texts as a list of bytes or None."""
+    for columns, texts in slices_of(batches, size):
+        yield columns, texts.to_pylist()

@@ -15,67 +15,83 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from weekgrid.llm.common import cached, rows_of, stored, table
+from weekgrid.llm.common import cached, rows_of, slices_of, stored, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH, END = 2048, 1
-WORDS = 400_000
+WORDS, CHUNK = 400_000, 8_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
 class WordEncoder:
-    """Encodes a text word by word (runs without ASCII white space), as no token
-    and no normalisation of this vocabulary crosses white space. Ids of up to
-    ``size`` words are kept; the others are encoded again when they come again."""
+    """Encodes texts word by word (runs without ASCII white space), as no token and no
+    normalisation of this vocabulary crosses white space. The words of a chunk are
+    made distinct in Arrow, so that Python and the tokenizer see each one once. Ids
+    of up to ``size`` words that a chunk has more than once are kept for later ones."""
 
     def __init__(self, path: str, size: int = WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.core = tokenizers.Tokenizer.from_file(path)
-        self.known, self.size = {}, size
+        self.size = size
+        self.known: dict[bytes, int] = {}  # number of a kept word
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # of kept words, end to end
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of the words, encoded as one text and dealt out by character offsets."""
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, encoded as one text and dealt out by character offsets, and
+        where each word's ids end."""
         texts = [w.decode() for w in words]
-        ends = np.cumsum([len(t) + 1 for t in texts])
+        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         found = self.core.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
+        ids = np.array(found.ids, np.uint32)
         starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
-        cuts = np.searchsorted(starts, ends).tolist()
-        raw = ids.tobytes()
-        return {w: raw[4 * a : 4 * b] for w, a, b in zip(words, [0, *cuts], cuts)}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        fresh = {}
+        return ids, np.searchsorted(starts, ends)
+
+    def keep(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        room = max(min(self.size - len(self.known), len(words)), 0)
+        n = int(ends[room - 1]) if room else 0
+        self.known.update(zip(words[:room], range(len(self.ends) - 1, len(self.ends) - 1 + room)))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends[:room]])
+        self.ids = np.concatenate([self.ids, ids[:n]])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the number of each one's."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, b"").cast(pa.large_string()))
+        words, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        real = pc.binary_length(words).to_numpy() > 0  # white space at an end of a text leaves an empty word
+        offsets = np.concatenate([[0], np.cumsum(real)])[offsets]
+        coded = words.filter(pa.array(real)).dictionary_encode()
+        distinct, which = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy()
+        slot = np.fromiter((self.known.get(w, -1) for w in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(slot < 0)
+        # Ids of new words stand behind those of kept ones.
+        parts, ends = [self.ids], [self.ends]
+        often = np.bincount(which, minlength=len(distinct)) > 1
+        new = np.concatenate([new[often[new]], new[~often[new]]])
+        slot[new] = len(self.ends) - 1 + np.arange(len(new))
+        repeated, learnt = int(often[new].sum()), []
         for i in range(0, len(new), 10_000):
-            fresh |= self.learn(new[i : i + 10_000])
-        look = self.known
-        if len(self.known) + len(fresh) <= self.size:
-            self.known |= fresh
-        elif fresh:
-            room = self.size - len(self.known)
-            for w in new[:room]:
-                self.known[w] = fresh[w]
-            look = _Both(self.known, fresh)
-        return [b"".join(map(look.__getitem__, words)) for words in split]
-
-
-class _Both(dict):
-    """Looks into ``fresh`` for words that are not in ``known``."""
-
-    def __init__(self, known, fresh):
-        super().__init__(fresh)
-        self.known = known
-
-    def __missing__(self, word):
-        return self.known[word]
+            names = [distinct[j] for j in new[i : i + 10_000].tolist()]
+            ids, own = self.learn(names)
+            learnt.append((names, ids, own))
+            parts.append(ids)
+            ends.append(own + ends[-1][-1])
+        pool, ends = np.concatenate(parts), np.concatenate(ends)
+        starts, lengths = ends[:-1], np.diff(ends)
+        size = lengths[slot][which]
+        first = starts[slot][which]
+        before = np.concatenate([[0], np.cumsum(size)])
+        out = pool[np.repeat(first - before[:-1], size) + np.arange(before[-1])]
+        for k, (names, ids, own) in enumerate(learnt):
+            here = min(max(repeated - 10_000 * k, 0), len(names))
+            if here:
+                self.keep(names[:here], ids, own[:here])
+        return out, np.diff(before[offsets])
 
 
 def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -85,16 +101,19 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
     def run(batches):
         encoder = cached(("packing", path), lambda: WordEncoder(path))
         part, before = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        for (doc_id,), texts in rows_of(batches):
-            ids = [x + end for x in encoder.encode([t or b"" for t in texts])]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        for (doc_id,), texts in slices_of(batches, CHUNK):
+            ids, sizes = encoder.encode(texts)
+            ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<u4")
+            sizes = sizes + 1
+            ends = np.cumsum(sizes)
+            packed = pa.Array.from_buffers(
+                pa.large_binary(), len(sizes), [None, pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int64)), pa.py_buffer(ids)]
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(ids), pa.int32()), pa.array(before + np.cumsum(sizes) - sizes), doc_id,
-                 pa.array(sizes), pa.array(ids, pa.binary())],
+                [pa.array(np.full(len(sizes), part, np.int32)), pa.array(before + ends - sizes), doc_id, pa.array(sizes), packed.cast(pa.binary())],
                 ["part", "before", "doc_id", "doc_tokens", "ids"],
             )
-            before += int(sizes.sum())
+            before += int(ends[-1])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, "part int, before long, doc_id long, doc_tokens long, ids binary")
