@@ -26,6 +26,7 @@ WORDS, PERCENT = 5, 75
 SAMPLE, HOT_IN_SAMPLE, HOT = 16, 3, 200_000
 LEAF, ROUNDS = 128, 3
 BACK, BITMAP = 3, 4
+PLACES = 1 << 20
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
@@ -89,8 +90,17 @@ def prefixes(docs: DataFrame, hot: np.ndarray, words: int, percent: int, key_onl
     return docs.mapInArrow(run, "s long" if key_only else "s long, doc_id long, n long, rank long")
 
 
+def wanted(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts whose id may be in a pair, so that the others are not shuffled. Ids
+    count as one of ``PLACES`` numbers, which bounds the broadcast; texts that share a
+    number with one that is wanted pass too, and a join on the ids follows."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(PLACES)).alias("place")
+    held = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(place("id")).distinct()
+    return texts.select("*", place("doc_id")).join(F.broadcast(held), "place", "left_semi").drop("place")
+
+
 def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Adds ``shared``, the exact intersection size, to pairs (a, b)."""
+    """Adds ``shared``, the exact intersection size, to pairs (a, b), a stored table."""
 
     def run(batches):
         for (a, b, other), texts_b in rows_of(batches):
@@ -103,6 +113,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([a, b, pa.array(shared, pa.int64())], ["a", "b", "shared"])
 
+    texts = wanted(texts, pairs)
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
@@ -156,7 +167,6 @@ def jaccard_join(
     reps = classes.select(F.col("rep").alias("doc_id"), F.col("n"))
     regions = stored(rows.join(reps, ["doc_id", "n"]).distinct(), "regions")
     regions = regions.select("s", F.col("doc_id").alias("x"), "n", "rank")
-    texts = stored(source.join(regions.select(F.col("x").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id"), "texts")
 
     near = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
     linked = F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("shared"))
@@ -171,9 +181,10 @@ def jaccard_join(
         pairs = around.where((F.col("x") != F.col("p")) & near(F.col("n"), F.col("n_p"))).select(
             F.col("x").alias("a"), F.col("p").alias("b"), F.col("n").alias("n_a"), F.col("n_p").alias("n_b")
         ).distinct()
-        measured = stored(overlaps(pairs, texts, words), "distances")
-        links = stored(links.unionByName(measured.where(linked).select("a", "b")), "links")
-        part = components(links)
+        measured = stored(overlaps(stored(pairs, "pairs"), named, words), "distances")
+        # Groups so far and the new links, not all links again.
+        part = components(links.unionByName(measured.where(linked).select("a", "b")))
+        links = part.select(F.col("node").alias("a"), F.col("component").alias("b"))
         # Distances to the pivot; a lower bound where the sizes rule a link out.
         gap = F.when(F.col("x") == F.col("p"), 0.0).otherwise(F.coalesce(
             1 - F.col("shared") / (F.col("n") + F.col("n_p") - F.col("shared")), 1 - F.least("n", "n_p") / F.greatest("n", "n_p")))
@@ -221,12 +232,12 @@ def jaccard_join(
         & ~F.coalesce(again, F.lit(False))
     )
     pairs = stored(met.select(F.col("x").alias("a"), F.col("x_b").alias("b"), n.alias("n_a"), n_b).distinct(), "pairs")
-    more = overlaps(pairs, texts, words).where(linked).select("a", "b")
+    more = overlaps(pairs, named, words).where(linked).select("a", "b")
     whole = components(links.unionByName(more))
     member = sets.join(classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "left")
-    named = member.join(whole.withColumnRenamed("node", "rep"), "rep", "left")
+    found = member.join(whole.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
