@@ -208,6 +208,29 @@ def test_embeddings(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i for i in (900, 901, 902, 903))
 
 
+def test_embeddings_in_many_tiles(spark):
+    """Text labels, buckets of many tiles, repeated rows, lengths that differ, huge and tiny components."""
+    x = rng.standard_normal((30, 8))
+    v = np.concatenate([x[i % 30] + 0.05 * rng.standard_normal((1, 8)) for i in range(240)])
+    rows = [(i, r.tolist(), "ab"[i % 2]) for i, r in enumerate(v)] + [(5, v[5].tolist(), "b"), (300, (v[7] * 1e200).tolist(), "b"), (301, (v[7] * 1e-200).tolist(), "b")]
+    rows += [(310, v[0].tolist()[:7], "a"), (None, v[4].tolist(), "a"), (311, [], "a"), (312, [1.0, None], "a")]
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, label string, row int, rep string")
+    got = embeddings.near_duplicates(frame, tile=8).collect()
+    full = [(i, np.array(e) / np.abs(e).max(), lab) for i, e, lab in rows if len(e or []) == 8]
+    u = np.stack([e / np.linalg.norm(e) for _, e, _ in full])
+    label = np.array([lab for *_, lab in full])
+    link = (u @ u.T >= 0.93) & (label[:, None] == label) & ~np.eye(len(u), dtype=bool)
+    assert len(got) == len(rows) and 0.99 * link.sum() <= sum(r["n_links"] for r in got) <= link.sum()
+    assert {r["n_links"] for r in got if r["vec_id"] in (310, 311, 312)} == {0}
+    assert embeddings.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_tables_follow_size():
+    for n in (10, 10_000, 10_000_000):
+        bits, tables = embeddings.plan_tables(n, 0.93, 0.998)
+        assert n / 2**bits <= 512 and 1 - (1 - (1 - np.arccos(0.93) / np.pi) ** bits) ** tables >= 0.998
+
+
 def test_chat(spark):
     rows = spark.createDataFrame([(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 2, "ann", "é!")], "conv_id long, turn long, role string, text string")
     got = {r["perspective"]: r for r in chat.rotate(rows).collect()}

@@ -8,14 +8,47 @@ smallest vector of its local component, never the pairs.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weekgrid.llm.common import stored, table
 from weekgrid.llm.components import components
-
-COSINE, BITS, TABLES, TILE, SEED = 0.93, 10, 20, 1024, 7
+from weekgrid.llm.vectors import sound
+
+COSINE, RECALL, TILE, SEED = 0.93, 0.998, 1024, 7
+BITS = (6, 24)
+
+
+def plan_tables(largest: int, least: float, recall: float, tile: int = TILE) -> tuple[int, int]:
+    """Bits and number of tables for a label of ``largest`` classes: so many bits that a
+    bucket of unlike vectors is about half a tile, and so many tables that a pair at
+    the cosine ``least`` meets in one of them with probability ``recall``."""
+    bits = min(max(math.ceil(math.log2(max(2 * largest / tile, 1))), BITS[0]), BITS[1])
+    agree = (1 - math.acos(least) / math.pi) ** bits
+    return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
+
+
+def units(batches):
+    """Vectors of length 1 (components divided by the largest one first, so no square
+    overflows), and a 128-bit digest of the vector as it was given."""
+    for batch in batches:
+        vectors = batch.column(batch.num_columns - 1)
+        sizes = np.diff(vectors.offsets.to_numpy())
+        flat = vectors.flatten().to_numpy(zero_copy_only=False) + 0.0  # no negative zeros
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        unit, digests = np.zeros(len(flat)), []
+        for d in np.unique(sizes):
+            at = starts[np.flatnonzero(sizes == d)][:, None] + np.arange(d)
+            x = flat[at] / np.abs(flat[at]).max(1, keepdims=True)
+            unit[at] = x / np.sqrt((x * x).sum(1, keepdims=True))
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            digests.append(hashlib.blake2b(flat[a:b].tobytes(), digest_size=16).digest())
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(unit))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(digests, pa.binary()), lists], [*batch.schema.names[:-1], "digest", "vector"])
 
 
 def signatures(tables: int, bits: int, seed: int):
@@ -87,8 +120,8 @@ def tiles(least: float):
             part["vector"] = batch.column("vector").to_numpy(zero_copy_only=False)
             if held is not None:
                 part = {k: np.concatenate([held[k], v]) for k, v in part.items()}
-            keys = np.stack([part[k] for k in ("label", "dim", "tab", "code", "lo", "hi")])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+            turns = [part[k][1:] != part[k][:-1] for k in ("label", "dim", "tab", "code", "lo", "hi")]
+            cuts = np.flatnonzero(np.any(turns, axis=0)) + 1
             last = int(cuts[-1]) if len(cuts) else 0
             held = {k: v[last:] for k, v in part.items()}
             yield from emit(part, [0, *cuts.tolist()])
@@ -110,38 +143,35 @@ def tiles(least: float):
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = COSINE, bits: int = BITS, tables: int = TABLES, tile: int = TILE, seed: int = SEED,
+    vectors: DataFrame, least: float = COSINE, recall: float = RECALL, tile: int = TILE, seed: int = SEED,
     id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
-    Equal vectors of one label are one class with a size, so copies are linked
-    without being compared. Vectors that are null, empty, zero, or hold a null or
-    a non-finite component, and those with a null label, link with nothing, as do
-    vectors of different lengths. Rows repeated with their id are further members
+    Equal vectors of one label (by a 128-bit digest) are one class with a size, so copies
+    are linked without being compared. Labels may be of any type and are compared as
+    text. Vectors that are null, empty, zero, or hold a null or a non-finite component,
+    and those with a null label, link with nothing, as do vectors of different lengths. Rows repeated with their id are further members
     of their class. A null id is linked like others, but its component is the
     smallest id that is not null. An empty table gives no rows. A bucket of more
     than ``tile`` classes is split into pairs of tiles, which together compare all
-    of it.
+    of it. Bits and tables follow from the classes of the largest label and the wanted
+    ``recall`` of pairs at the least cosine (``plan_tables``).
     """
     x = F.transform(vector_col, lambda v: v.cast("double"))
-    norm = F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v))
-    sound = (
-        F.col(label_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0)
-        & F.forall(x, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)))
-    )
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"),
-                          F.when(sound & (norm > 0), F.col(vector_col)).alias("embedding"))
+    usable = F.col(label_col).isNotNull() & sound(vector_col) & F.exists(x, lambda v: v != 0)
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.when(usable, x).alias("vector"))
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    linkable = rows.where(F.col("embedding").isNotNull())
+    linkable = rows.where(F.col("vector").isNotNull()).select("row", "vec_id", "label", "vector")
+    linkable = stored(linkable.mapInArrow(units, "row long, vec_id long, label string, digest binary, vector array<double>"), "units")
     classes = stored(
-        linkable.groupBy("label", "embedding").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first")),
-        "classes",
-    )
-    unit = F.transform("embedding", lambda v: v.cast("double") / F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, w: s + w.cast("double") * w.cast("double"))))
-    signed = classes.select("label", F.size("embedding").alias("dim"), "rep", "n", unit.alias("vector")).mapInArrow(
-        signatures(tables, bits, seed), "label long, dim int, rep long, n long, vector array<double>, codes array<int>"
+        linkable.groupBy("label", "digest").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first")), "classes"
     )
+    largest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c").alias("c")).first()["c"] or 0
+    bits, tables = plan_tables(largest, least, recall, tile)
+    signed = linkable.select("row", "vector").join(classes.select("label", "rep", "n"), F.col("row") == F.col("rep")).select(
+        "label", F.size("vector").alias("dim"), "rep", "n", "vector"
+    ).mapInArrow(signatures(tables, bits, seed), "label string, dim int, rep long, n long, vector array<double>, codes array<int>")
     signed = stored(signed, "signatures")
     bucket = ["label", "dim", "tab", "code"]
     placed = signed.select("label", "dim", "rep", "n", F.posexplode("codes").alias("tab", "code"))
@@ -163,9 +193,9 @@ def near_duplicates(
     )
     smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     summary = grouped.join(smallest, "component").join(links, "rep", "left").select(
-        "label", "embedding", "component_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "label", "digest", "component_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
-    linked = linkable.join(summary, ["label", "embedding"]).select("row", "component_id", "n_links")
+    linked = linkable.select("row", "label", "digest").join(summary, ["label", "digest"]).select("row", "component_id", "n_links")
     component = F.coalesce("component_id", "vec_id")
     return rows.select("row", "vec_id").join(linked, "row", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
