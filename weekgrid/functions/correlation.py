@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekgrid.functions.columns import ratio
@@ -19,27 +19,57 @@ def pearson(a: Column, b: Column) -> Column:
     return ratio(F.covar_pop(a, b), spread)
 
 
+def _block_sums(columns: int, shift: list[float]):
+    """Per task one row per column pair: rows where both are present, and over these the
+    sums, squares and products of the values less their column's ``shift``.
+
+    A batch is a matrix, its missing cells zeros, beside the matrix of what is present;
+    all sums of all pairs are products of the two.
+    """
+    centre = np.array(shift)
+
+    def run(batches):
+        i, j = np.triu_indices(columns, 1)
+        n, sx, sxx, sxy = (np.zeros((columns, columns)) for _ in range(4))
+        for batch in batches:
+            cells = [c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            x = np.where(there > 0, np.column_stack(cells) - centre, 0.0)
+            n += there.T @ there
+            sx += x.T @ there
+            sxx += (x * x).T @ there
+            sxy += x.T @ x
+        sums = [n[i, j], sx[i, j], sx[j, i], sxx[i, j], sxx[j, i], sxy[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *map(pa.array, sums)], ["i", "j", *SUMS])
+
+    return run
+
+
+SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+
 def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(a, b, score) for every unordered pair of columns, one pass over the rows.
+    """(a, b, score) for every unordered pair of columns, over the rows where both are
+    present; NULL for a constant column, or where no row has both.
 
-    A row unfolds into its column pairs, which the partial aggregate absorbs at
-    once. One wide aggregate of all pairs would outgrow the size of a compiled
-    method from a few columns on and fall back to interpretation.
+    One pass adds up co-moments per batch as matrix products; what leaves a task is one
+    row per pair, whatever its rows, and Spark adds these up. Values are shifted by
+    their column's mean first, so that the sums keep their precision.
     """
-    pairs = list(combinations(columns, 2))
-    cells = [
-        F.struct(
-            F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    scores = (
-        df.select(F.inline(F.array(*cells)))
-        .groupBy("pair")
-        .agg(pearson(F.col("x"), F.col("y")).alias("score"))
-    )
-    return scores.select(names[F.col("pair")]["a"].alias("a"), names[F.col("pair")]["b"].alias("b"), "score")
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    means = doubles.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    shift = [means[c] if means[c] is not None and np.isfinite(means[c]) else 0.0 for c in columns]
+    schema = "i long, j long, " + ", ".join(f"{s} double" for s in SUMS)
+    sums = doubles.mapInArrow(_block_sums(len(columns), shift), schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in SUMS])
+    n = F.col("n")
+    spread_x = F.col("sxx") - ratio(F.col("sx") * F.col("sx"), n)
+    spread_y = F.col("syy") - ratio(F.col("sy") * F.col("sy"), n)
+    # What rounding leaves of a constant column is no spread.
+    varies = (spread_x > 1e-14 * F.col("sxx")) & (spread_y > 1e-14 * F.col("syy"))
+    product = F.col("sxy") - ratio(F.col("sx") * F.col("sy"), n)
+    score = F.when(varies, product / (F.sqrt(spread_x) * F.sqrt(spread_y)))
+    names = F.array(*map(F.lit, columns))
+    return sums.select(names[F.col("i").cast("int")].alias("a"), names[F.col("j").cast("int")].alias("b"), score.alias("score"))
 
 
 def target_correlations(df: DataFrame, target: str, columns: list[str]) -> DataFrame:

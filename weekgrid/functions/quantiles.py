@@ -1,12 +1,32 @@
-"""Exact quantiles without holding a column in one task."""
+"""Exact quantiles by repeated range counting."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekgrid.functions.longform import melt
+from weekgrid.session import stored
 
-ACCURACY = 10_000
+ACCURACY, CELLS, TASK_ROWS = 10_000, 1024, 1_000_000
+
+
+def _cell(value: Column, low: Column, high: Column, cells: int) -> Column:
+    """Number of the sub-range of [low, high] a value falls into, growing with the
+    value: -1 below, ``cells`` above, and the two ends alone in the first and the last."""
+    share = F.nanvl((value - low) / F.when(high > low, high - low).otherwise(1.0), F.lit(0.0))
+    inner = 1 + F.least(F.greatest(F.floor(share * (cells - 2)), F.lit(0)), F.lit(cells - 3))
+    return (
+        F.when(value < low, -1).when(value > high, cells).when(value == low, 0).when(value == high, cells - 1).otherwise(inner)
+    ).cast("int")
+
+
+def _spread(values: DataFrame, sketch: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
+    """Rows with ``_salt``: a group of more than ``task_rows`` rows gets a salt for each
+    ``task_rows`` of them. Such groups are at most rows / task_rows, so they are broadcast."""
+    salts = F.ceil(F.col("n") / task_rows).cast("int")
+    hot = F.broadcast(sketch.where(F.col("n") > task_rows).select(*keys, salts.alias("_salts")))
+    place = F.pmod(F.monotonically_increasing_id(), F.coalesce("_salts", F.lit(1)))
+    return values.join(hot, keys, "left").withColumn("_salt", place).drop("_salts")
 
 
 def quantiles(
@@ -16,75 +36,83 @@ def quantiles(
     by: list[str] | None = None,
     discrete: bool = False,
     accuracy: int = ACCURACY,
-    salts: int = 32,
+    cells: int = CELLS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """(by..., column, prob, value) for every column and probability; NULLs ignored.
 
-    ``percentile`` keeps every distinct value of a group in one task. Here a
-    mergeable sketch first brackets each wanted rank between two values, then a
-    second pass counts what lies below the bracket and sorts only what lies
-    inside it, about 4/accuracy of the group; equal values are counted before
-    they are shuffled. Raw rows never meet their bracket in one task per group:
-    without ``by`` the brackets, one row per column, are broadcast, and with it
-    every group is spread over ``salts`` tasks. The largest value below a bracket and the smallest above
-    it are kept too, as a small group's bracket may end one rank beside the wanted one.
-    If a bracket ever misses its rank by more the query fails instead of being wrong.
+    A mergeable sketch gives each wanted rank a first range of values. Every pass then
+    counts the rows in ``cells`` parts of the range, and what lies below and above it,
+    and the part that holds the rank is the next range, until it holds one value (or
+    the two neighbours that a rank between them needs). Counting combines map-side, so
+    neither a column nor a range ever meets in one task, and no rank is missed however
+    wrong the sketch is. A pass is a job: two or three are usual, and a range that does
+    not shrink otherwise loses both its ends in each.
+
+    Without ``by`` the ranges, one row per column and probability, are broadcast. With
+    it they are joined, and groups of more than ``task_rows`` rows are salted by their
+    measured counts.
     """
     by = list(by or [])
     keys = [*by, "column"]
     values = melt(df, columns, by).where(F.col("value").isNotNull())
     margin = 2.0 / accuracy
     wanted = [p for q in probs for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    sketch = values.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", wanted, accuracy).alias("edge"),
+    sketch = stored(
+        values.groupBy(*keys).agg(F.count("value").alias("n"), F.percentile_approx("value", wanted, accuracy).alias("edge")), "sketch"
     )
-    cells = []
+    ranges = []
     for i, q in enumerate(probs):
         rank = F.ceil(F.lit(q) * F.col("n")) - 1 if discrete else F.lit(q) * (F.col("n") - 1)
-        rank = F.greatest(rank.cast("double"), F.lit(0.0))
-        cells.append(
+        ranges.append(
             F.struct(
                 F.lit(q).alias("prob"),
-                rank.alias("rank"),
-                F.col("edge")[2 * i].alias("lo"),
-                F.col("edge")[2 * i + 1].alias("hi"),
+                F.greatest(rank.cast("double"), F.lit(0.0)).alias("rank"),
+                F.col("edge")[2 * i].alias("low"),
+                F.col("edge")[2 * i + 1].alias("high"),
             )
         )
-    targets = sketch.select(*keys, F.array(*cells).alias("targets"))
+    open_ = sketch.select(*keys, F.inline(F.array(*ranges)))
     if by:
-        values = values.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        met = values.join(targets.withColumn("_salt", F.explode(every)), [*keys, "_salt"])
-    else:
-        met = values.join(F.broadcast(targets), keys)
-    value = F.col("value")
-    side = F.when(value < F.col("lo"), -1).when(value > F.col("hi"), 1).otherwise(0)
-    hits = met.select(*keys, "value", F.inline("targets")).withColumn("side", side)
-    slot = [*keys, "prob", "rank"]
-    inside = F.when(F.col("side") == 0, value).alias("inside")
-    counted = hits.groupBy(*slot, "side", inside).agg(
-        F.count("*").alias("c"), F.min("value").alias("least"), F.max("value").alias("most")
-    )
-    ranked = counted.withColumn("upto", F.sum("c").over(Window.partitionBy(*slot).orderBy("side", "inside")))
-
-    def at(rank: Column) -> Column:
-        found = (
-            F.when(F.col("side") == 0, F.col("inside"))
-            .when((F.col("side") < 0) & (F.col("upto") - 1 == rank), F.col("most"))
-            .when((F.col("side") > 0) & (F.col("upto") - F.col("c") == rank), F.col("least"))
+        values = _spread(values, sketch, keys, task_rows)
+    target = [*keys, "prob", "rank"]
+    done = None
+    while True:
+        ranged = open_.groupBy(*keys).agg(F.collect_list(F.struct("prob", "rank", "low", "high")).alias("ranges"))
+        if by:
+            salts = F.sequence(F.lit(0), F.ceil(F.col("n") / task_rows).cast("int") - 1)
+            met = values.join(ranged.join(sketch.select(*keys, "n"), keys).withColumn("_salt", F.explode(salts)).drop("n"), [*keys, "_salt"])
+        else:
+            met = values.join(F.broadcast(ranged), keys)
+        cell = _cell(F.col("value"), F.col("low"), F.col("high"), cells)
+        counted = met.select(*keys, "value", F.inline("ranges")).groupBy(*target, cell.alias("cell")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("value").alias("least"), F.max("value").alias("most")
         )
-        return F.min_by(F.struct(found.alias("v")), F.when(F.col("upto") > rank, F.col("upto")))["v"]
+        # At most cells + 2 rows per rank meet in this window.
+        upto = F.sum("c").over(Window.partitionBy(*target).orderBy("cell"))
+        first, second = F.floor("rank"), F.ceil("rank")
 
-    picked = ranked.groupBy(*slot).agg(
-        at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b")
-    )
-    missed = F.col("a").isNull() | F.col("b").isNull()
+        def holding(rank: Column) -> Column:
+            place = F.struct("cell", "least", "most", "upto")
+            return F.min(F.when(F.col("upto") > rank, place))
+
+        found = counted.withColumn("upto", upto).groupBy(*target).agg(holding(first).alias("a"), holding(second).alias("b"))
+        apart = F.col("a.cell") != F.col("b.cell")
+        found = found.select(
+            *target, F.when(apart, F.col("a.most")).otherwise(F.col("a.least")).alias("low"),
+            F.when(apart, F.col("b.least")).otherwise(F.col("a.most")).alias("high"),
+            (apart | (F.col("a.least") == F.col("a.most"))).alias("done"),
+        )
+        found = stored(found, "ranks")
+        fixed = found.where("done").drop("done")
+        done = fixed if done is None else done.unionByName(fixed)
+        open_ = found.where("NOT done").drop("done")
+        if not open_.limit(1).count():
+            break
     part = F.col("rank") - F.floor("rank")
-    value = F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank"))).otherwise(
-        F.col("a") + (F.col("b") - F.col("a")) * part
-    )
-    return picked.select(*keys, "prob", value.cast("double").alias("value"))
+    # Not low + 0 * (high - low) for whole ranks, which would fail for infinite values.
+    value = F.when(part == 0, F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * part)
+    return done.select(*keys, "prob", value.cast("double").alias("value"))
 
 
 def quantiles_wide(

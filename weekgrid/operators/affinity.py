@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from weekgrid.functions.columns import ratio, zero_if_null
+from weekgrid.session import stored
 
 BLOCK = 512
 
@@ -87,19 +88,52 @@ def _cross_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield from products(waiting, _basket_numbers(waiting))
 
 
-def pair_scores(resid: DataFrame) -> DataFrame:
-    """(department_a, department_b, correlation_score) for all pairs a < b.
+def _separate(depts: DataFrame, above: float | None) -> DataFrame:
+    """(a, b, fa, fb) of pairs that may pass if they share no basket.
+
+    Such a pair has no product sum, so its score is -fa * fb with f = s / spread of
+    one department. Departments are put into classes by the sign and the binary
+    exponent of f; from the extremes of two classes follows whether any of their pairs
+    can pass, and only departments of such classes are joined. There are as many classes
+    as exponents a double has, so the table of their pairs is bounded and broadcast.
+    """
+    power = F.floor(F.log2(F.abs("f"))).cast("int")
+    kind = F.when(F.col("f") == 0, F.lit("0")).otherwise(F.concat_ws(":", F.signum("f").cast("int"), power))
+    placed = depts.where("f IS NOT NULL").withColumn("kind", kind)
+    ends = placed.groupBy("kind").agg(F.min("f").alias("low"), F.max("f").alias("high")).collect()
+    pairs = [
+        (x["kind"], y["kind"])
+        for x in ends
+        for y in ends
+        if above is None or max(-p * q for p in (x["low"], x["high"]) for q in (y["low"], y["high"])) > above - 1e-9
+    ]
+    meet = F.broadcast(depts.sparkSession.createDataFrame(pairs, "kind string, other string"))
+    left = placed.select(F.col("dept").alias("a"), F.col("f").alias("fa"), "kind").join(meet, "kind")
+    right = placed.select(F.col("dept").alias("b"), F.col("f").alias("fb"), F.col("kind").alias("other"))
+    return left.join(right, "other").where(F.col("a") < F.col("b")).select("a", "b", "fa", "fb")
+
+
+def pair_scores(resid: DataFrame, above: float | None = None) -> DataFrame:
+    """(department_a, department_b, correlation_score) for pairs a < b whose score is
+    greater than ``above``; for all pairs without it.
 
     Equals the correlation matrix of the zero-filled basket pivot, without the
     pivot: an absent department adds nothing to a sum, so the number of baskets
     and the sums per department and per pair are enough. A task meets whole
     baskets in order, and every batch of them is reduced to one partial sum per
-    pair before the pair shuffle.
+    pair before the pair shuffle. Pairs come from shared baskets; those without
+    one are added where their closed form can pass.
     """
     n = resid.select("store", "date").distinct().agg(F.count("*").cast("double")).scalar()
-    per_dept = resid.groupBy("dept").agg(
-        F.sum("residual_sales").alias("s"),
-        F.sum(F.col("residual_sales") * F.col("residual_sales")).alias("ss"),
+    spread = F.sqrt(n * F.col("ss") - F.col("s") * F.col("s"))
+    per_dept = stored(
+        resid.groupBy("dept")
+        .agg(
+            F.sum("residual_sales").alias("s"),
+            F.sum(F.col("residual_sales") * F.col("residual_sales")).alias("ss"),
+        )
+        .select("dept", "s", n.alias("n"), spread.alias("spread"), ratio(F.col("s"), spread).alias("f")),
+        "departments",
     )
     cells = (
         resid.where("store IS NOT NULL AND date IS NOT NULL")
@@ -107,39 +141,23 @@ def pair_scores(resid: DataFrame) -> DataFrame:
         .repartition("store", "date")
         .sortWithinPartitions("store", "date")
     )
-    sums = (
+    sums = stored(
         cells.mapInArrow(_cross_products, "a bigint, b bigint, sxy double")
         .groupBy("a", "b")
-        .agg(F.sum("sxy").alias("sxy"))
+        .agg(F.sum("sxy").alias("sxy")),
+        "shared-baskets",
     )
-    # a pair that never shares a basket still has a score: its product sum is zero
-    depts = per_dept.agg(F.collect_list("dept")).scalar()
-    left = per_dept.withColumn("depts", depts).select(
-        F.col("dept").alias("a"),
-        F.col("s").alias("sa"),
-        F.col("ss").alias("ssa"),
-        F.explode(F.filter("depts", lambda d: d > F.col("dept"))).alias("b"),
-    )
-    right = per_dept.select(F.col("dept").alias("b"), F.col("s").alias("sb"), F.col("ss").alias("ssb"))
-    scored = (
-        left.join(right, "b")
-        .join(sums, ["a", "b"], "left")
-        .withColumn("sxy", zero_if_null(F.col("sxy")))
-    )
-    spread = F.sqrt(n * F.col("ssa") - F.col("sa") * F.col("sa")) * F.sqrt(
-        n * F.col("ssb") - F.col("sb") * F.col("sb")
-    )
-    return scored.select(
-        F.col("a").alias("department_a"),
-        F.col("b").alias("department_b"),
-        ratio(n * F.col("sxy") - F.col("sa") * F.col("sb"), spread).alias("correlation_score"),
-    ).where("correlation_score IS NOT NULL")
+    left = per_dept.select(F.col("dept").alias("a"), "n", F.col("s").alias("sa"), F.col("spread").alias("da"))
+    right = per_dept.select(F.col("dept").alias("b"), F.col("s").alias("sb"), F.col("spread").alias("db"))
+    score = ratio(F.col("n") * F.col("sxy") - F.col("sa") * F.col("sb"), F.col("da") * F.col("db"))
+    shared = sums.join(left, "a").join(right, "b").select("a", "b", score.alias("score"))
+    apart = _separate(per_dept, above).join(sums.select("a", "b"), ["a", "b"], "left_anti")
+    both = shared.unionByName(apart.select("a", "b", (-F.col("fa") * F.col("fb")).alias("score"))).where("score IS NOT NULL")
+    if above is not None:
+        both = both.where(F.col("score") > above)
+    return both.select(F.col("a").alias("department_a"), F.col("b").alias("department_b"), F.col("score").alias("correlation_score"))
 
 
 def rules(gold: DataFrame, min_score: float = 0.6) -> DataFrame:
     """Department pairs whose surprise sales move together, strongest first."""
-    return (
-        pair_scores(residuals(gold))
-        .where(F.col("correlation_score") > min_score)
-        .orderBy(F.desc("correlation_score"), "department_a", "department_b")
-    )
+    return pair_scores(residuals(gold), min_score).orderBy(F.desc("correlation_score"), "department_a", "department_b")

@@ -88,9 +88,9 @@ class IsolationForest:
         levels = int(math.ceil(math.log2(max(self.sample_size, 2))))
 
         @F.pandas_udf("double")
-        def path(values: pd.Series) -> pd.Series:
+        def path(*columns):
             feature, threshold, left, right, depth = trees.value
-            x = np.stack(values.to_list()) if len(values) else np.zeros((0, 1))
+            x = np.column_stack([c.to_numpy(float) for c in columns])
             rows, total = np.arange(len(x)), np.zeros(len(x))
             for t in range(len(feature)):
                 node = np.zeros(len(x), dtype=np.int64)
@@ -100,8 +100,16 @@ class IsolationForest:
                 total += depth[t, node]
             return pd.Series(np.exp2(-total / (len(feature) * scale)))
 
-        vector = F.array(*[zero_if_null(F.col(c).cast("double")) for c in self.columns])
-        return df.withColumn(name, path(vector))
+        # Columns travel as they are; an array of them would come out as one object per row.
+        return df.withColumn(name, path(*[zero_if_null(F.col(c).cast("double")) for c in self.columns]))
+
+
+def literal_forest(columns: list[str], trees: list[list[tuple]], sample_size: int) -> IsolationForest:
+    """A forest from lists of (feature, threshold, left, right, depth) per tree."""
+    wide = max(map(len, trees))
+    filled = [t + [(0, np.inf, i, i, 0.0) for i in range(len(t), wide)] for t in trees]
+    parts = [np.array([[node[k] for node in t] for t in filled], kind) for k, kind in enumerate((np.int64, float, np.int64, np.int64, float))]
+    return IsolationForest(tuple(columns), *parts, sample_size)
 
 
 def _tree_samples(df: DataFrame, keys: list[str], trees: int, size: int, seed: int, n: int) -> DataFrame:

@@ -6,19 +6,23 @@ import math
 import random
 import statistics
 import time
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexerModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
+from weekgrid.operators import boosting
 from weekgrid.operators.gold import CATEGORICAL, NUMERIC, with_calendar
 from weekgrid.operators.metrics import forecast_metrics, quality_gates, select_candidate
 from weekgrid.operators.prep import fit_features
 from weekgrid.session import scratch_path, stored
 
 TARGET = "weekly_sales"
-MODELS = ("linear", "random_forest", "boosting")
+ORDER_KEYS = ["store", "dept", "date"]
+MODELS = ("linear", "random_forest", "boosting", "leafwise", "ordered")
 
 
 def _estimator(model_type: str, train: DataFrame, params: dict, levels: int):
@@ -52,21 +56,37 @@ def fit(
 ) -> PipelineModel:
     """One saved-and-loadable model from raw columns to ``prediction`` in dollars.
 
-    The label is log1p of sales; the last stage turns the fitted value back.
+    The label is log1p of sales; the last stage turns the fitted value back. Of the
+    boosting variants ``boosting`` grows trees level by level, ``leafwise`` by the best
+    leaf, and ``ordered`` grows symmetric trees on ordered target statistics of the
+    categories (rows are named by store, department and date).
     """
     if model_type not in MODELS:
         raise ValueError(f"unknown model type {model_type!r}, expected one of {MODELS}")
     numeric, categorical = numeric or NUMERIC, categorical or CATEGORICAL
+    label = F.log1p(F.greatest(F.col(TARGET), F.lit(0.0)))
+    before = []
+    if model_type == "ordered":
+        train = train.withColumn("label", label)
+        prior = train.agg(F.avg("label")).first()[0] or 0.0
+        before = [boosting.final_statistics(train, categorical, "label", prior)]
+        train = boosting.ordered_statistics(train, categorical, "label", ORDER_KEYS, prior)
+        numeric, categorical = [*numeric, *[f"{c}_stat" for c in categorical]], []
     features = fit_features(train, numeric, categorical, encode=model_type == "linear")
-    ready = features.transform(train).select(
-        "features", F.log1p(F.greatest(F.col(TARGET), F.lit(0.0))).alias("label")
-    )
+    ready = features.transform(train).select("features", label.alias("label"))
     ready = stored(ready, "training-matrix")
+    if model_type in ("leafwise", "ordered"):
+        growth = {"leafwise": {"growth": "leaf"}, "ordered": {"growth": "symmetric", "l2": 3.0}}[model_type]
+        trees = boosting.fit_trees(ready, **{**growth, **(params or {})})
+        return PipelineModel([*before, *features.stages, trees, _in_dollars()])
     indexers = [s for s in features.stages if isinstance(s, StringIndexerModel)]
     levels = max((len(labels) + 1 for s in indexers for labels in s.labelsArray), default=0)
     model = _estimator(model_type, ready, params or {}, levels).fit(ready)
-    back = SQLTransformer(statement="SELECT *, expm1(log_prediction) AS prediction FROM __THIS__")
-    return PipelineModel([*features.stages, model, back])
+    return PipelineModel([*features.stages, model, _in_dollars()])
+
+
+def _in_dollars() -> SQLTransformer:
+    return SQLTransformer(statement="SELECT *, expm1(log_prediction) AS prediction FROM __THIS__")
 
 
 def regressor(model: PipelineModel):
@@ -146,31 +166,99 @@ def measured(model: PipelineModel, df: DataFrame, repeats: int = 5) -> tuple[flo
     return statistics.median(times[1:]) if one else None, size
 
 
-def search(
-    train: DataFrame, val: DataFrame, draws: int = 2, seed: int = 42, space: dict | None = None
-) -> DataFrame:
-    """Random search for boosting parameters: one row per run with its
-    validation metrics, measured latency and size. Each fit is a distributed job over the whole table."""
-    space = {
-        "trees": (50, 1000), "learning_rate": (0.01, 0.3), "depth": (3, 10), "subsample": (0.6, 1.0),
-        "feature_share": (0.6, 1.0), **(space or {}),
-    }
+SPACE = {
+    # The ranges searched.
+    "trees": (50, 1000), "learning_rate": (0.01, 0.3), "depth": (3, 10), "subsample": (0.6, 1.0), "feature_share": (0.6, 1.0),
+}
+
+
+def draw_params(draws: int, seed: int, space: dict) -> list[tuple]:
+    """(trees, rate, depth, subsample, feature share) of each draw, the rate by its logarithm."""
     rng = random.Random(seed)
-    rows = []
-    for i in range(draws):
+    out = []
+    for _ in range(draws):
         low, high = space["learning_rate"]
         trees, depth = rng.randint(*space["trees"]), rng.randint(*space["depth"])
         rate = math.exp(rng.uniform(math.log(low), math.log(high)))
-        subsample, share = rng.uniform(*space["subsample"]), rng.uniform(*space["feature_share"])
-        drawn = (trees, rate, depth, subsample, share)
-        model, metrics = fit_evaluate(train, val, "boosting", boosting_params(*drawn))
-        found = metrics.first()
+        out.append((trees, rate, depth, rng.uniform(*space["subsample"]), rng.uniform(*space["feature_share"])))
+    return out
+
+
+class SharedMatrix:
+    """Features fitted once on the training weeks, with the training and the validation
+    matrix stored once for all draws of a search."""
+
+    def __init__(self, train: DataFrame, val: DataFrame, numeric: list[str] | None = None, categorical: list[str] | None = None):
+        numeric, categorical = numeric or NUMERIC, categorical or CATEGORICAL
+        self.features = fit_features(train, numeric, categorical, encode=False)
+        label = F.log1p(F.greatest(F.col(TARGET), F.lit(0.0)))
+        self.train = stored(self.features.transform(train).select("features", label.alias("label")), "search-train")
+        self.val = stored(self.features.transform(val).select("features", TARGET, "isholiday"), "search-val")
+        indexers = [s for s in self.features.stages if isinstance(s, StringIndexerModel)]
+        self.levels = max((len(labels) + 1 for s in indexers for labels in s.labelsArray), default=0)
+
+    def fit(self, drawn: tuple, rounds: int) -> PipelineModel:
+        """A model of the first ``rounds`` trees of a draw, on vectors."""
+        params = boosting_params(rounds, *drawn[1:])
+        return PipelineModel([_estimator("boosting", self.train, params, self.levels).fit(self.train), _in_dollars()])
+
+    def metrics(self, model: PipelineModel):
+        return forecast_metrics(model.transform(self.val)).first()
+
+    def whole(self, model: PipelineModel) -> PipelineModel:
+        """The model from raw columns."""
+        return PipelineModel([*self.features.stages, *model.stages])
+
+
+def rungs(draws: int, eta: int) -> list[tuple[float, int]]:
+    """(share of a draw's trees, draws kept) of each rung: all draws with the fewest
+    trees first, one of ``eta`` of them with ``eta`` times as many next, one at last."""
+    kept = [draws]
+    while kept[-1] > 1:
+        kept.append(-(-kept[-1] // eta))
+    return [(float(eta) ** (i - len(kept) + 1), n) for i, n in enumerate(kept)]
+
+
+def search(
+    train: DataFrame, val: DataFrame, draws: int = 2, seed: int = 42, space: dict | None = None, eta: int = 3, parallelism: int = 4,
+    numeric: list[str] | None = None, categorical: list[str] | None = None,
+) -> DataFrame:
+    """Random draws of boosting parameters, narrowed by successive halving: one row per
+    draw with the validation metrics, measured latency and size of its last model.
+
+    All draws are fitted on one stored feature matrix with a share of their trees; the
+    best of them by error go on with ``eta`` times as many, until the last ones have all
+    theirs. Up to ``parallelism`` fits are submitted side by side, so that small jobs
+    fill a cluster; each is a distributed job over the whole table. ``n_estimators`` is
+    the draw's own number and ``trees_fitted`` what its last model has.
+    """
+    matrix = SharedMatrix(train, val, numeric, categorical)
+    drawn = draw_params(draws, seed, SPACE | (space or {}))
+    alive, results = list(range(draws)), {}
+
+    def run(task: tuple[int, int]):
+        i, rounds = task
+        model = matrix.fit(drawn[i], rounds)
+        return i, rounds, model, matrix.metrics(model)
+
+    with ThreadPool(max(1, min(parallelism, draws))) as pool:
+        for share, count in rungs(draws, eta):
+            alive = alive[:count]
+            tasks = [(i, max(1, math.ceil(share * drawn[i][0]))) for i in alive]
+            for i, rounds, model, found in pool.imap_unordered(inheritable_thread_target(val.sparkSession)(run), tasks):
+                results[i] = (rounds, model, found)
+            wmape = lambda i: results[i][2]["wmape"]
+            alive.sort(key=lambda i: (wmape(i) is None, wmape(i), i))
+    rows = []
+    for i, (rounds, model, found) in sorted(results.items()):
         errors = (found["wmape"], found["mae"], found["rmse"], found["r2"])
-        rows.append((f"run_{i:03d}", *errors, *measured(model, val), *drawn))
+        # One after the other: fits beside it would be in the measured latency.
+        rows.append((f"run_{i:03d}", *errors, *measured(matrix.whole(model), val), *drawn[i], rounds))
     return val.sparkSession.createDataFrame(
         rows,
         "run_id string, wmape_val double, mae_val double, rmse_val double, r2_val double, latency_ms double,"
-        " model_size_mb double, n_estimators int, learning_rate double, max_depth int, subsample double, colsample double",
+        " model_size_mb double, n_estimators int, learning_rate double, max_depth int, subsample double, colsample double,"
+        " trees_fitted int",
     )
 
 

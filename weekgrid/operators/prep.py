@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, RobustScaler, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
-)
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekgrid.functions.quantiles import quantiles
@@ -67,11 +65,29 @@ def _text(names: list[str], modes: dict[str, str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
 
-def _numbers(numeric: list[str]) -> tuple[SQLTransformer, Imputer, list[str]]:
-    doubles = ", ".join(f"cast({c} AS double) AS {c}_num" for c in numeric)
-    names = [f"{c}_full" for c in numeric]
-    impute = Imputer(strategy="median", inputCols=[f"{c}_num" for c in numeric], outputCols=names)
-    return SQLTransformer(statement=f"SELECT *, {doubles} FROM __THIS__"), impute, names
+def _number(value: float | None) -> str:
+    """A double as a SQL literal; a column without values has none."""
+    return "CAST('NaN' AS DOUBLE)" if value is None else f"{float(value)!r}D"
+
+
+def _numbers(train: DataFrame, numeric: list[str]) -> tuple[SQLTransformer, list[str]]:
+    """Numbers with the exact median in place of NULL and NaN, as ``<column>_full``."""
+    doubles = train.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in numeric])
+    medians = {r["column"]: r["value"] for r in quantiles(doubles, numeric, [0.5]).collect()}
+    filled = ", ".join(f"coalesce(nanvl(cast({c} AS double), NULL), {_number(medians.get(c))}) AS {c}_full" for c in numeric)
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"), [f"{c}_full" for c in numeric]
+
+
+def _scaled(train: DataFrame, numbers: list[str]) -> tuple[SQLTransformer, list[str]]:
+    """(x - median) / (q3 - q1) with exact quartiles; a zero range divides by one."""
+    found: dict[str, dict] = {}
+    for r in quantiles(train.select(*numbers), numbers, [0.25, 0.5, 0.75]).collect():
+        found.setdefault(r["column"], {})[r["prob"]] = r["value"]
+    parts = []
+    for c in numbers:
+        low, middle, high = (found.get(c, {}).get(p, 0.0) for p in (0.25, 0.5, 0.75))
+        parts.append(f"({c} - {_number(middle)}) / {_number((high - low) or 1.0)} AS {c}_scaled")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"), [f"{c}_scaled" for c in numbers]
 
 
 def fit_features(
@@ -81,14 +97,19 @@ def fit_features(
 
     ``encode`` gives the linear-model form: median imputation, robust scaling,
     mode imputation, one-hot without the first level, unknown levels as zeros.
-    Without it trees get imputed numbers and indexed categories.
+    Without it trees get imputed numbers and indexed categories. Without categories
+    the vector is the imputed numbers.
     """
-    modes = {r["column"]: r["top"] for r in categorical_profile(train, categorical).toLocalIterator()}
-    stages: list[Transformer] = [_text(categorical, modes)]
-    doubles, impute, names = _numbers(numeric)
-    stages.append(doubles)
+    stages: list[Transformer] = []
+    if categorical:
+        modes = {r["column"]: r["top"] for r in categorical_profile(train, categorical).toLocalIterator()}
+        stages.append(_text(categorical, modes))
+    impute, names = _numbers(train, numeric)
+    stages.append(impute)
     here = PipelineModel(stages).transform(train)
-    stages.append(impute.fit(here))
+    if not categorical:
+        stages.append(VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"))
+        return PipelineModel(stages)
     # Descending order puts the alphabetically first level last, where it is cut off.
     indexer = StringIndexer(
         inputCols=[f"{c}_text" for c in categorical],
@@ -97,16 +118,14 @@ def fit_features(
         stringOrderType="alphabetDesc" if encode else "alphabetAsc",
     ).fit(here)
     stages.append(indexer)
-    here = PipelineModel(stages[2:]).transform(here)
+    here = indexer.transform(here)
     if not encode:
         inputs = names + [f"{c}_index" for c in categorical]
         stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
         return PipelineModel(stages)
-    numbers = VectorAssembler(inputCols=names, outputCol="numbers", handleInvalid="keep")
-    scaler = RobustScaler(
-        inputCol="numbers", outputCol="scaled", withCentering=True, withScaling=True
-    ).fit(numbers.transform(here))
-    stages += [numbers, scaler]
+    scaler, scaled = _scaled(here, names)
+    numbers = VectorAssembler(inputCols=scaled, outputCol="scaled", handleInvalid="keep")
+    stages += [scaler, numbers]
     encoder = OneHotEncoder(
         inputCols=[f"{c}_index" for c in categorical],
         outputCols=[f"{c}_levels" for c in categorical],

@@ -78,6 +78,17 @@ def bronze_sql_path_scan(spark, sf_dir):
     return spark.sql("SELECT dept, count(*) AS n FROM bronze_depts GROUP BY dept")
 
 
+@query("silver_named_table", "SELECT store, dept, date, weekly_sales FROM sales")
+def silver_named_table(spark, sf_dir):
+    """Create or replace, then create only if absent, read by another session."""
+    name, shown = "weekgrid_silver_sales", ["store", "dept", "date", "weekly_sales"]
+    sales = panel(spark, sf_dir).silver_sales.select(shown)
+    tables.create_table(sales.limit(1), name, scratch_path(spark, "named"))
+    tables.create_table(sales, name, scratch_path(spark, "named"))
+    tables.create_table(sales.limit(1), name, replace=False)
+    return spark.newSession().table(name)
+
+
 @query("gold_parquet_roundtrip", f"SELECT {sql_rounded(gold_ops.COLUMNS)} FROM gold")
 def gold_parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "gold-table")

@@ -73,6 +73,26 @@ def market_basket_rules(spark, sf_dir):
     return rounded(affinity.rules(panel(spark, sf_dir).stored_gold, min_score=0.0), 6)
 
 
+@query(
+    "market_basket_rules_by_year",
+    """WITH yearly AS (SELECT year(date) AS y, store, sum(weekly_sales - sales_last_year) AS v
+                      FROM gold WHERE sales_last_year IS NOT NULL GROUP BY ALL),
+            years AS (SELECT DISTINCT y FROM yearly), shops AS (SELECT DISTINCT store FROM yearly),
+            full_grid AS (SELECT years.y, shops.store, coalesce(v, 0) AS v
+                          FROM years CROSS JOIN shops LEFT JOIN yearly USING (y, store))
+       SELECT a.store AS department_a, b.store AS department_b, round(corr(a.v, b.v), 6) AS correlation_score
+       FROM full_grid a JOIN full_grid b ON a.y = b.y AND a.store < b.store
+       GROUP BY ALL HAVING corr(a.v, b.v) > 0.6""",
+)
+def market_basket_rules_by_year(spark, sf_dir):
+    """The default threshold of 0.6 on stores and years: a year is the basket."""
+    resid = affinity.residuals(panel(spark, sf_dir).stored_gold)
+    yearly = resid.groupBy(F.lit(0).alias("store"), F.year("date").alias("date"), F.col("store").alias("dept")).agg(
+        F.sum("residual_sales").alias("residual_sales")
+    )
+    return rounded(affinity.pair_scores(yearly, 0.6), 6)
+
+
 # --- store segments ----------------------------------------------------------
 
 PROFILES = """profiles AS (
@@ -178,6 +198,30 @@ def holiday_miss(spark, sf_dir):
     return rounded(shown, 6)
 
 
+LITERAL_TREES = [
+    # feature, threshold, left, right, depth of each node; leaves point to themselves
+    [(0, 1.0, 1, 2, 0.0), (1, 0.5, 3, 4, 0.0), (0, 0.0, 2, 2, 1.5), (0, 0.0, 3, 3, 2.0), (0, 0.0, 4, 4, 3.25)],
+    [(1, 1.2, 1, 2, 0.0), (0, 0.0, 1, 1, 1.0), (0, 2.0, 3, 4, 0.0), (0, 0.0, 3, 3, 2.5), (0, 0.0, 4, 4, 2.0)],
+]
+
+
+@query(
+    "isolation_scores",
+    f"""SELECT store, dept, date, round(pow(2, -(
+            CASE WHEN coalesce({anomaly.RATIOS[0]}, 0) <= 1.0
+                 THEN CASE WHEN coalesce({anomaly.RATIOS[1]}, 0) <= 0.5 THEN 2.0 ELSE 3.25 END ELSE 1.5 END
+          + CASE WHEN coalesce({anomaly.RATIOS[1]}, 0) <= 1.2
+                 THEN 1.0 ELSE CASE WHEN coalesce({anomaly.RATIOS[0]}, 0) <= 2.0 THEN 2.5 ELSE 2.0 END END)
+          / (2 * (2 * (ln(7.0) + 0.5772156649015329) - 2 * 7.0 / 8))), 9) AS anomaly_score
+        FROM ratios""",
+)
+def isolation_scores(spark, sf_dir):
+    """Scores of two written-out trees of a sample of eight."""
+    forest = anomaly.literal_forest(anomaly.RATIOS[:2], LITERAL_TREES, 8)
+    scored = forest.score(anomaly.ratios(panel(spark, sf_dir).stored_gold))
+    return rounded(scored.select("store", "dept", "date", "anomaly_score"), 9)
+
+
 @query("anomaly_flags")
 def anomaly_flags(spark, sf_dir):
     return anomaly.report(anomaly.flag(anomaly.ratios(panel(spark, sf_dir).stored_gold)))
@@ -221,6 +265,12 @@ CATEGORICAL_SQL = "\nUNION ALL\n".join(categorical_sql(c) for c in CATEGORICAL)
 SCORES = "SELECT \"column\", method, round(score, 6) AS score, score >= 0.1 AS drifted FROM ({})"
 
 
+def drift_rows(spark, sf_dir):
+    """Training weeks (side 0) and test weeks (side 1); validation weeks have no side."""
+    labelled = splits.chronological(splits.drop_warmup(panel(spark, sf_dir).stored_gold))
+    return labelled.withColumn("side", F.when(F.col("split") == "train", 0).when(F.col("split") == "test", 1))
+
+
 def drift_sides(spark, sf_dir):
     """Training weeks against test weeks."""
     labelled = splits.chronological(splits.drop_warmup(panel(spark, sf_dir).stored_gold))
@@ -248,11 +298,76 @@ def drift_categorical(spark, sf_dir):
         FROM scores""",
 )
 def drift_report(spark, sf_dir):
-    train, test = drift_sides(spark, sf_dir)
-    every = drift.numeric(train, test, NUMERIC).unionByName(drift.categorical(train, test, CATEGORICAL))
+    every = drift.columns_report(drift_rows(spark, sf_dir), NUMERIC, CATEGORICAL)
     return rounded(drift.report(every), 6)
 
 
+def chi_sql(c, source, ref, cur):
+    """Chi-square statistic, or the squared z of two proportions, with its tail from gamma functions."""
+    return f"""
+    SELECT '{c}' AS "column", CASE WHEN k = 2 THEN 'proportion' ELSE 'chi_square' END AS method, statistic,
+           CASE WHEN k = 1 OR statistic <= 0 THEN 1.0
+                WHEN isinf(statistic) OR statistic / 2 > a + 12 * sqrt(a) + 60 THEN 0.0
+                ELSE greatest(0, 1 - list_sum(list_transform(range(0, CAST(ceil(greatest(statistic / 2 - a, 0) + 12 * sqrt(statistic / 2 + a) + 60) AS BIGINT)),
+                     lambda i: exp((a + i) * ln(statistic / 2) - statistic / 2 - lgamma(a + i + 1))))) END AS p
+    FROM (SELECT k, (CASE WHEN k = 2 THEN 1 ELSE k - 1 END) / 2.0 AS a,
+                 CASE WHEN k = 2 THEN z ELSE chi END AS statistic
+          FROM (SELECT count(*) AS k,
+                       sum(CASE WHEN r > 0 THEN (u - r * m / n) ** 2 / (r * m / n) WHEN u > 0 THEN 'inf'::DOUBLE ELSE 0 END) AS chi,
+                       max((r / n - u / m) ** 2 / nullif(((r + u) / (n + m)) * (1 - (r + u) / (n + m)) * (1 / n + 1 / m), 0)) AS z
+                FROM (SELECT {c}, CAST(count(*) FILTER ({ref}) AS DOUBLE) AS r, CAST(count(*) FILTER ({cur}) AS DOUBLE) AS u,
+                             (SELECT CAST(count({c}) AS DOUBLE) FROM {source} WHERE {ref}) AS n,
+                             (SELECT CAST(count({c}) AS DOUBLE) FROM {source} WHERE {cur}) AS m
+                      FROM {source} WHERE ({ref} OR {cur}) AND {c} IS NOT NULL GROUP BY 1)))"""
+
+
+def ks_sql(c, source, ref, cur):
+    return f"""
+    SELECT '{c}' AS "column", 'kolmogorov_smirnov' AS method, d AS statistic,
+           CASE WHEN z2 < 0.04 THEN 1.0
+                ELSE least(greatest(2 * list_sum(list_transform(range(1, 101),
+                     lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * z2))), 0), 1) END AS p
+    FROM (SELECT d, d * d * n * m / (n + m) AS z2
+          FROM (SELECT max(abs(fr / n - fu / m)) AS d, max(n) AS n, max(m) AS m
+                FROM (SELECT CAST(sum(r) OVER (ORDER BY v) AS DOUBLE) AS fr, CAST(sum(u) OVER (ORDER BY v) AS DOUBLE) AS fu,
+                             (SELECT CAST(count({c}) AS DOUBLE) FROM {source} WHERE {ref}) AS n,
+                             (SELECT CAST(count({c}) AS DOUBLE) FROM {source} WHERE {cur}) AS m
+                      FROM (SELECT CAST({c} AS DOUBLE) AS v, count(*) FILTER ({ref}) AS r, count(*) FILTER ({cur}) AS u
+                            FROM {source} WHERE ({ref} OR {cur}) AND {c} IS NOT NULL GROUP BY 1))))"""
+
+
+def tests_sql(numeric, categorical, source="splits", ref="split = 'train'", cur="split = 'test'"):
+    few = f"(SELECT count(DISTINCT {{0}}) FROM {source} WHERE {ref} OR {cur}) <= 5"
+    parts = [f"SELECT * FROM ({ks_sql(c, source, ref, cur)}) WHERE NOT {few.format(c)}" for c in numeric]
+    parts += [f"SELECT * FROM ({chi_sql(c, source, ref, cur)}) WHERE {few.format(c)}" for c in numeric]
+    parts += [chi_sql(c, source, ref, cur) for c in categorical]
+    return """SELECT "column", method, round(p, 6) AS score, p < 0.05 AS drifted, round(statistic, 6) AS statistic
+              FROM (""" + "\nUNION ALL\n".join(parts) + ")"
+
+
+TESTED = ["weekly_sales", "lag_1_sales", "sales_last_year", "temperature", "fuel_price", "store_size", "isholiday"]
+TESTED_CATEGORIES = ["store_type", "month", "store"]
+
+
+@query("drift_tests", tests_sql(TESTED, TESTED_CATEGORIES))
+def drift_tests(spark, sf_dir):
+    """Two-sample tests of training against test weeks, over all rows."""
+    return rounded(drift.tests(drift_rows(spark, sf_dir), TESTED, TESTED_CATEGORIES), 6)
+
+
+BEFORE, AFTER = "ts < TIMESTAMP '2024-01-16'", "ts >= TIMESTAMP '2024-01-16'"
+EVENT_SIDES = "(SELECT *, user_id % 2 AS half, user_id % 7 AS seventh FROM events)"
+
+
+@query("drift_tests_events", tests_sql(["value", "user_id", "half"], ["event_type", "seventh"], EVENT_SIDES, BEFORE, AFTER))
+def drift_tests_events(spark, sf_dir):
+    """Two-sample tests of the first half of the month's events against the second."""
+    events = table(spark, sf_dir, "events").withColumns({"half": F.col("user_id") % 2, "seventh": F.col("user_id") % 7})
+    half = F.to_timestamp_ntz(F.lit("2024-01-16 00:00:00"))
+    rows = events.withColumn("side", F.when(F.col("ts") < half, 0).when(F.col("ts") >= half, 1))
+    return rounded(drift.tests(rows, ["value", "user_id", "half"], ["event_type", "seventh"]), 6)
+
+
 @query(
     "drift_target",
     "WITH s AS (SELECT *, weekly_sales AS target, rolling_4_wk_sales_avg AS prediction FROM splits) "

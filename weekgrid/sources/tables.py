@@ -63,6 +63,18 @@ def read_sql(spark: SparkSession, path: str, columns: str = "*", fmt: str = DEFA
     return spark.sql(f"SELECT {columns} FROM {fmt}.`{path}`")
 
 
+def create_table(df: DataFrame, name: str, path: str | None = None, replace: bool = True, fmt: str = DEFAULT_FORMAT) -> None:
+    """A named table in the catalog with the rows of ``df``, for every session that
+    shares the catalog. ``replace`` overwrites one that exists; otherwise it stays as
+    it is and ``df`` is not run. ``path`` makes an external table there."""
+    if not replace and df.sparkSession.catalog.tableExists(name):
+        return
+    writer = df.write.format(fmt).mode("overwrite")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
 def write_snapshot(df: DataFrame, path: str, version: int, taken_at: str) -> None:
     """Store one version of a table under ``path/snapshot=n``, with its time.
 
