@@ -24,7 +24,7 @@ from weekgrid.llm.common import cached, rows_of, slices_of, stored, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH, END = 2048, 1
-WORDS, CHUNK = 400_000, 8_000_000
+WORDS, CHUNK = 200_000, 2_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
@@ -114,6 +114,8 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
                 ["part", "before", "doc_id", "doc_tokens", "ids"],
             )
             before += int(ends[-1])
+            del ids, packed
+            pa.default_memory_pool().release_unused()  # workers live on after the task
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, "part int, before long, doc_id long, doc_tokens long, ids binary")
