@@ -275,6 +275,20 @@ def test_winnowing(docs, empty):
     assert k >= 1 and winnowing.compare(empty).count() == 0
 
 
+def test_winnowing_of_hot_ids(spark):
+    """An id, and no id, with many rows: dealt to many ranges, every row followed by exactly one."""
+    made = [(7, f"hot {i} text") for i in range(120)] + [(None, f"lone {i} text") for i in range(80)] + [(i, f"own {i} text") for i in range(30)]
+    made += [(7, "hot 3 text")] * 2
+    rows = spark.createDataFrame([(*r, 1, "x") for r in made], "doc_id long, text string, bucket int, ghost string").repartition(4)
+    got = winnowing.with_next(rows, {}, "doc_id", "text", 16).collect()
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in got))) == sorted(map(repr, made))
+    assert sorted(r["next_text"] for r in got) == sorted(t for _, t in made)
+    after = {r["text"]: r["next_text"] for r in got}
+    assert all(after[f"own {i} text"] == f"own {i - 1} text" for i in (*range(9, 30), *range(1, 7)))
+    assert after["own 0 text"].startswith("lone") and sum(t.startswith("own 29") for t in after.values()) == 1
+    assert winnowing.compare(rows, buckets=16).count() == len(made) and winnowing.compare(rows.limit(1)).first()["near_next"] == 1.0
+
+
 def test_winnowing_without_spaces(spark):
     letters = list("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏😀ab")
     passage = "".join(np.random.default_rng(5).choice(letters, 200))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
@@ -57,7 +58,8 @@ def count_pieces(path: str):
     @F.pandas_udf(T.LongType())
     def count(words):
         # The library gives nothing for an empty text; as a pre-token it is one space mark.
-        return words.map(lambda w: len(model_of(path).encode(w, num_threads=1)) if w else 1).astype("int64")
+        found = model_of(path).encode(words.tolist(), num_threads=1)
+        return pd.Series([len(ids) if word else 1 for word, ids in zip(words, found)], dtype="int64")
 
     return count
 

@@ -79,22 +79,38 @@ def with_next(docs: DataFrame, columns: dict[str, Column], id_col: str, text_col
     ``columns`` of both as ``name`` and ``next_name``.
 
     Ids are cut into ranges of similar size; the window runs inside a range, and
-    the first document of each range is also the last row of the range before.
-    The driver holds one id per range.
+    the first document of each range is also the last row of the range before. An
+    id, or no id, that would fill several ranges gets as many, and its rows are dealt
+    to them by a hash of their text. The driver holds one id per range.
     """
     spark = docs.sparkSession
-    bounds = docs.select(F.percentile_approx(id_col, [i / buckets for i in range(1, buckets)], 10_000).alias("b")).first()["b"] if buckets > 1 else None
-    bounds = sorted(set(bounds or []))
-    above = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("bucket", F.coalesce(F.when(F.col("doc_id").isNotNull(), above), F.lit(0)))
-    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top")).orderBy(F.desc("bucket")).collect()
-    if not tops:
-        return rows.select("doc_id", "text", F.lit("").alias("next_text"), *[c.alias(n) for n, c in columns.items()],
-                           *[c.alias(f"next_{n}") for n, c in columns.items()])
-    follow = [(r["bucket"], s["top"]) for r, s in zip(tops, tops[1:] + tops[:1])]
-    ends = F.broadcast(spark.createDataFrame(follow, "in_bucket int, top long"))
-    ghosts = rows.join(ends, F.col("doc_id").eqNullSafe(F.col("top"))).select("doc_id", "text", F.col("in_bucket").alias("bucket"), F.lit(True).alias("ghost"))
+    facts = rows.agg(
+        F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)] or [0.5], 10_000).alias("bounds"),
+        F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("named"),
+    ).first()
+    bounds = sorted(facts["bounds"] or []) if buckets > 1 else []
+    # Range numbers rise with the id, those without one come before all; a bound that is
+    # there more than once is an id with many rows.
+    lone = 1 + buckets * (facts["n"] - facts["named"]) // max(facts["n"], 1)
+    single = sorted(set(bounds))
+    first = {b: lone + 2 * i + sum(bounds.count(x) - 1 for x in single[:i]) for i, b in enumerate(single)}
+    dealt = lambda k: F.pmod(F.xxhash64("text"), F.lit(k)).cast("int")
+    bucket = F.lit(lone + 2 * len(single) + len(bounds) - len(single))
+    for b in reversed(single):
+        mine = F.lit(first[b] + 1) + dealt(bounds.count(b))
+        bucket = F.when(F.col("doc_id") < b, first[b]).when(F.col("doc_id") == b, mine).otherwise(bucket)
+    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), dealt(lone)).otherwise(bucket))
+    # One row per range: its first document follows the last one of the range above.
+    # Ids are compared first, so that texts are only compared where ids are equal.
+    highest = F.broadcast(rows.groupBy("bucket").agg(F.max("doc_id").alias("top")).withColumnRenamed("bucket", "in_bucket"))
+    tops = rows.join(highest, (F.col("bucket") == F.col("in_bucket")) & F.col("doc_id").eqNullSafe(F.col("top")))
+    tops = tops.groupBy("bucket", "doc_id").agg(F.min("text").alias("text"))
+    above = Window.partitionBy(F.lit(0)).orderBy(F.desc("bucket"))
+    whole = above.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    top = F.struct("doc_id", "text")
+    follow = tops.select("bucket", F.coalesce(F.lead(top).over(above), F.first(top).over(whole)).alias("top"))
+    ghosts = follow.select("top.doc_id", "top.text", "bucket", F.lit(True).alias("ghost"))
     both = rows.withColumn("ghost", F.lit(False)).unionByName(ghosts)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ready = both.repartition(parts, "bucket").select("*", *[c.alias(n) for n, c in columns.items()])
