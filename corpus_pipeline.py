@@ -20,9 +20,14 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ids last). A row is a document of its own, whatever its id: rows that share one
     but do not link all stay. ``docs`` is a Parquet table, so a row's number is the
     same in every scan."""
+    counts = docs.groupBy(F.col("doc_id").alias("of")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND of IS NOT NULL")
+    clashing = stored(counts.select("of"), "clashing")  # its size is known, so joins with few ids do not shuffle texts
     numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "text"
-    )
+        F.monotonically_increasing_id().alias("number"), F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "text"
+    ).join(clashing, F.col("doc_id") == F.col("of"), "left")
+    # A row is known by its id where that is its own, else by a number below zero.
+    own = F.when(F.col("of").isNull() & (F.col("doc_id") >= 0), F.col("doc_id").cast("long")).otherwise(-1 - F.col("number"))
+    numbered = numbered.withColumn("row", own).drop("of", "number")
     groups = jaccard.jaccard_join(numbered.select("row", "text"), id_col="row")
     linked = groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
     shared = linked.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
@@ -30,7 +35,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     order = F.struct("none", "doc_id", "hash", "row")
     first = members.groupBy("group").agg(F.min(order).alias("kept")).select("kept.row", F.lit(True).alias("kept"))
     copies = members.select("row").join(first, "row", "left").where(F.col("kept").isNull()).select("row")
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(c) for c in docs.columns]).alias("whole"))
+    whole = docs.select(
+        F.monotonically_increasing_id().alias("number"), F.col("doc_id").alias("id"), F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
+    ).join(clashing, F.col("id") == F.col("of"), "left")
+    whole = whole.select(F.when(F.col("of").isNull() & (F.col("id") >= 0), F.col("id").cast("long")).otherwise(-1 - F.col("number")).alias("row"), "whole")
     return whole.join(copies.hint("shuffle_hash"), "row", "left_anti").select("whole.*")
 
 
