@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from weekgrid import plans
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = plans.all_queries(), plans.all_sql()  # the others are checked in tests/llm
 TABLES = ["nation", "customer", "orders", "lineitem", "events"]
-SLOW = {"forecast_gbt", "forecast_fit_score", "forecast_recursive_4wk", "batch_score"}  # boosting at full size
+FEW = {"boosting": {"maxIter": 4}, "leafwise": {"rounds": 4}, "ordered": {"rounds": 4}}  # rounds of the fits in tests
 
 
 @pytest.fixture(scope="module")
@@ -43,8 +44,11 @@ def test_query_equals_sql(spark, oracle, name):
     assert got[1], "a check on no rows proves nothing"
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
-def test_query_without_sql_returns_rows(spark, name):
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_query_without_sql_returns_rows(spark, name, monkeypatch):
+    from weekgrid.plans import models
+
+    monkeypatch.setattr(models, "PARAMS", models.PARAMS | FEW)
     assert QUERIES[name](spark, SMALL).limit(1).count() == 1
 
 
@@ -54,4 +58,5 @@ def test_entry(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())

@@ -14,8 +14,9 @@ FEW, SMALL = 5, 1000
 
 
 def sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
-    """``n`` rows in the order of a hash of their key: repeatable on any cluster."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), *keys).limit(n)
+    """``n`` rows in the order of md5 of the seed and their key: repeatable on any
+    cluster, and in any system that has md5."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)
 
 
 def sided(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:

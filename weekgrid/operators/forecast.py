@@ -63,7 +63,8 @@ def fit(
     """
     if model_type not in MODELS:
         raise ValueError(f"unknown model type {model_type!r}, expected one of {MODELS}")
-    numeric, categorical = numeric or NUMERIC, categorical or CATEGORICAL
+    numeric = NUMERIC if numeric is None else numeric
+    categorical = CATEGORICAL if categorical is None else categorical
     label = F.log1p(F.greatest(F.col(TARGET), F.lit(0.0)))
     before = []
     if model_type == "ordered":

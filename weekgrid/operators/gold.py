@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weekgrid.functions.calendar import cyclical, iso_week
 from weekgrid.functions.columns import log_plus_one, row_total
@@ -11,6 +11,7 @@ from weekgrid.operators.grid import complete_weeks
 
 KEYS = ["store", "dept"]
 MARKDOWNS = [f"markdown{i}" for i in range(1, 6)]
+# The columns of the wide table and which of them a model reads.
 NUMERIC = [
     "store_size", "temperature", "fuel_price", "cpi", "unemployment",
     *MARKDOWNS, "total_markdown", "lag_1_sales", "lag_5_sales", "sales_last_year",
@@ -87,9 +88,9 @@ def merge_context(grid: DataFrame, features: DataFrame, stores: DataFrame) -> Da
     )
 
 
-def sales_grid(sales: DataFrame) -> DataFrame:
+def sales_grid(sales: DataFrame, bounds: Column | None = None) -> DataFrame:
     """Sales on the full grid, weeks without sales as zero."""
-    full = complete_weeks(sales, KEYS, ["weekly_sales", "isholiday"])
+    full = complete_weeks(sales, KEYS, ["weekly_sales", "isholiday"], bounds=bounds)
     return full.withColumn("weekly_sales", F.coalesce(F.col("weekly_sales"), F.lit(0.0)))
 
 
@@ -101,13 +102,16 @@ def build_gold(
     window: int = 4,
     macro_lag: int = 12,
     period: int = 52,
+    bounds: Column | None = None,
 ) -> DataFrame:
     """Grid, lags, indicators and calendar columns in one plan.
 
     The windows read sales only, so they run before the joins: the table is
     exchanged once by (store, dept) while it is narrow, and indicators join
-    afterwards on (store, date).
+    afterwards on (store, date). ``bounds``, the first and last date of the sales
+    as ``functions.calendar.span`` gives them, should come from a stored table:
+    without them the sales run a second time.
     """
-    grid = with_lags(sales_grid(sales), *lags, length=window)
+    grid = with_lags(sales_grid(sales, bounds), *lags, length=window)
     wide = merge_context(grid, with_macro_lag(features, macro_lag), stores)
     return with_calendar(wide, period=period).select(*COLUMNS)

@@ -30,6 +30,7 @@ def complete_weeks(
     date: str = "date",
     step: int = WEEK,
     observed: str = "is_original_row",
+    bounds: Column | None = None,
 ) -> DataFrame:
     """The scaffold with the table left-joined onto it, without the join.
 
@@ -38,8 +39,10 @@ def complete_weeks(
     key replaces building the scaffold, and shuffling it against the table, and
     the lag windows that follow reuse that exchange. Added weeks have NULL
     ``values``. A date off the weekly grid counts for its key but not as a row.
+    ``bounds`` (a struct of ``lo`` and ``hi``) spares the second run of ``df`` that
+    its first and last date take otherwise.
     """
-    ends: Column = span(df, date)
+    ends = span(df, date) if bounds is None else bounds
     last = F.floor(F.datediff(ends["hi"], ends["lo"]) / step)
     offset = F.datediff(F.col(date), ends["lo"])
     placed = df.select(

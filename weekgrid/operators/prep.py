@@ -47,8 +47,16 @@ def mode_impute(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), fill[c].cast(types[c])) for c in columns})
 
 
-def one_hot(df: DataFrame, column: str, levels: list) -> DataFrame:
-    """A 0/1 column per level but the first; an unknown level gets all zeros."""
+def learned_levels(df: DataFrame, column: str) -> list:
+    """The distinct values of a category in order, as an encoder learns them; they become
+    columns, so they are few."""
+    return [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).collect()]
+
+
+def one_hot(df: DataFrame, column: str, levels: list | None = None) -> DataFrame:
+    """A 0/1 column per level but the first; an unknown level gets all zeros. Without
+    ``levels`` they are learned from ``df``."""
+    levels = learned_levels(df, column) if levels is None else levels
     return df.withColumns(
         {
             f"{column}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0))
@@ -98,7 +106,7 @@ def fit_features(
     ``encode`` gives the linear-model form: median imputation, robust scaling,
     mode imputation, one-hot without the first level, unknown levels as zeros.
     Without it trees get imputed numbers and indexed categories. Without categories
-    the vector is the imputed numbers.
+    the vector is the imputed, or scaled, numbers.
     """
     stages: list[Transformer] = []
     if categorical:
@@ -108,6 +116,9 @@ def fit_features(
     stages.append(impute)
     here = PipelineModel(stages).transform(train)
     if not categorical:
+        if encode:
+            scaler, names = _scaled(here, names)
+            stages.append(scaler)
         stages.append(VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"))
         return PipelineModel(stages)
     # Descending order puts the alphabetically first level last, where it is cut off.

@@ -133,8 +133,9 @@ def _fit(y: np.ndarray, lags: int, skip: int) -> tuple[float, float, int]:
     return float(beta[0] / deviation), float(aic), rows
 
 
-def unit_root(df: DataFrame, keys: list[str], value: str, date: str = "date") -> DataFrame:
-    """Augmented Dickey-Fuller test with a constant per series, lag by AIC."""
+def unit_root(df: DataFrame, keys: list[str], value: str, date: str = "date", max_lag: int | None = None) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant per series, lag by AIC, of up to
+    ``max_lag`` lags or as many as the usual rule by length gives."""
     names = ["statistic", "p_value", "lags", "n", *CRITICAL, "stationary"]
 
     def test(rows: pd.DataFrame) -> pd.DataFrame:
@@ -143,7 +144,7 @@ def unit_root(df: DataFrame, keys: list[str], value: str, date: str = "date") ->
         y = rows.sort_values(date)[value].dropna().to_numpy(float)
         head = rows[keys].iloc[:1].reset_index(drop=True)
         limit = int(np.ceil(12.0 * (len(y) / 100.0) ** 0.25))
-        limit = min(limit, len(y) // 2 - 2)
+        limit = min(limit, len(y) // 2 - 2, *([] if max_lag is None else [max_lag]))
         if limit < 0 or np.ptp(y) == 0:
             return head.assign(**dict.fromkeys(names))[[*keys, *names]]
         best = min(range(limit + 1), key=lambda p: _fit(y, p, limit)[1])

@@ -64,6 +64,17 @@ def forecast_metrics(spark, sf_dir):
     return metrics.forecast_metrics(scored_test(spark, sf_dir))
 
 
+@query(
+    "weighted_errors_by_store",
+    f"""WITH {SCORED_SQL} SELECT store, count(*) AS n, round(sum(w * abs(weekly_sales - prediction)) / sum(w), 6) AS wmae,
+        round(sum(w * abs(weekly_sales - prediction)) / nullif(sum(w * abs(weekly_sales)), 0), 6) AS wmape
+        FROM scored WHERE prediction IS NOT NULL GROUP BY store""",
+)
+def weighted_errors_by_store(spark, sf_dir):
+    found = metrics.weighted_errors(scored_test(spark, sf_dir), "weekly_sales", "prediction", "isholiday", ["store"], absolute_base=True)
+    return rounded(found, 6)
+
+
 @query(
     "forecast_metrics_by_store",
     f"WITH {SCORED_SQL} SELECT store, dept, {METRIC_SQL} FROM scored GROUP BY store, dept",

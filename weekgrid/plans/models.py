@@ -7,6 +7,8 @@ is fitted once per panel and shared by the queries that need it.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from weekgrid.functions.columns import rounded
@@ -129,6 +131,16 @@ def prep_one_hot(spark, sf_dir):
     return coded.drop("store_type", "isholiday")
 
 
+@query(
+    "prep_one_hot_learned",
+    """SELECT store, dept, date, CAST(store_type = 'B' AS INTEGER) AS "store_type_B", CAST(store_type = 'C' AS INTEGER) AS "store_type_C",
+              CAST(isholiday = 1 AS INTEGER) AS isholiday_1 FROM gold""",
+)
+def prep_one_hot_learned(spark, sf_dir):
+    gold = panel(spark, sf_dir).stored_gold.select("store", "dept", "date", "store_type", "isholiday")
+    return prep.one_hot(prep.one_hot(gold, "store_type"), "isholiday").drop("store_type", "isholiday")
+
+
 def labelled_metrics(found, model_type):
     return found.select(F.lit(model_type).alias("model"), "wmape", "mae", "rmse", "r2")
 
@@ -138,6 +150,60 @@ def forecast_ridge(spark, sf_dir):
     return tested(spark, sf_dir, "linear")
 
 
+@query(
+    "forecast_ridge_one_feature",
+    """WITH known AS (SELECT CAST(sales_last_year AS DOUBLE) AS x, ln(1 + greatest(weekly_sales, 0)) AS y FROM splits WHERE split IN ('train', 'val')),
+            q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS q2, quantile_cont(x, 0.75) AS q3 FROM known),
+            width AS (SELECT CASE WHEN q3 = q1 THEN 1.0 ELSE q3 - q1 END AS d FROM q),
+            z AS (SELECT (x - q2) / d AS z, y FROM known, q, width),
+            b AS (SELECT regr_sxy(y, z) / (regr_sxx(y, z) + 1.0) AS slope, avg(y) AS my, avg(z) AS mz FROM z),
+            p AS (SELECT weekly_sales AS y, CASE WHEN isholiday = 1 THEN 5.0 ELSE 1.0 END AS w,
+                         exp(my + slope * ((sales_last_year - q2) / d - mz)) - 1 AS f
+                  FROM splits, q, width, b WHERE split = 'test')
+       SELECT 'linear' AS model, round(100 * sum(w * abs(y - f)) / sum(w * y), 2) AS wmape, round(avg(abs(y - f)), 2) AS mae,
+              round(sqrt(avg((y - f) ** 2)), 2) AS rmse, round(1 - sum((y - f) ** 2) / (count(*) * var_pop(y)), 4) AS r2
+       FROM p""",
+)
+def forecast_ridge_one_feature(spark, sf_dir):
+    """Refit on train and validation weeks with one feature, where ridge has a closed
+    form: imputation, scaling, log target, fit, scoring and metrics are all checked."""
+    train, val, test = parts(spark, sf_dir)
+    model = forecast.fit(train.unionByName(val), "linear", {"solver": "normal"}, ["sales_last_year"], [])
+    return labelled_metrics(metrics.forecast_metrics(forecast.predict(model, test)), "linear")
+
+
+WEIGHTS = "0.5 * coalesce(lag_1_sales, 0) + 0.3 * coalesce(sales_last_year, 0) + 0.2 * coalesce(rolling_4_wk_sales_avg, 0)"
+
+
+OFF_TIES = 3.14159e-7  # weights of round cents give ties, which no two systems round alike
+
+
+def recursion_sql(weeks: int) -> str:
+    known = ["k0 AS (SELECT store, dept, date, weekly_sales FROM gold WHERE date > (SELECT max(date) FROM gold) - 371)"]
+    for h in range(1, weeks + 1):
+        target = f"(SELECT max(date) FROM gold) + {7 * h}"
+        known.append(
+            f"""f{h} AS (SELECT store, dept, max(CASE WHEN date = {target} - 7 THEN weekly_sales END) AS lag_1_sales,
+                         max(CASE WHEN date = {target} - 364 THEN weekly_sales END) AS sales_last_year,
+                         avg(CASE WHEN date >= {target} - 28 THEN weekly_sales END) AS rolling_4_wk_sales_avg
+                  FROM k{h - 1} GROUP BY store, dept),
+            p{h} AS (SELECT store, dept, CAST({target} AS DATE) AS date, {WEIGHTS} AS weekly_sales FROM f{h}),
+            k{h} AS (SELECT * FROM k{h - 1} UNION ALL SELECT * FROM p{h})"""
+        )
+    steps = " UNION ALL ".join(
+        f"SELECT store, dept, date, CAST({h} AS INTEGER) AS horizon, round(weekly_sales + {OFF_TIES}, 4) AS prediction FROM p{h}" for h in range(1, weeks + 1)
+    )
+    return "WITH " + ", ".join(known) + " " + steps
+
+
+@query("forecast_recursive_fixed", recursion_sql(4))
+def forecast_recursive_fixed(spark, sf_dir):
+    """Four weeks, each from the ones before, with fixed weights in place of a fit."""
+    fixed = PipelineModel([SQLTransformer(statement=f"SELECT *, {WEIGHTS} AS prediction FROM __THIS__")])
+    found = forecast.recursive(fixed, panel(spark, sf_dir).stored_gold, 4)
+    return rounded(found.withColumn("prediction", F.col("prediction") + OFF_TIES), 4)
+
+
 @query("forecast_random_forest")
 def forecast_random_forest(spark, sf_dir):
     return tested(spark, sf_dir, "random_forest")

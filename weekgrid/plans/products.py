@@ -403,8 +403,12 @@ def drift_events(spark, sf_dir):
     return rounded(found, 6)
 
 
-@query("drift_sample")
+@query(
+    "drift_sample",
+    """SELECT CAST(store AS DOUBLE) AS store, CAST(dept AS DOUBLE) AS dept, date, CAST(isholiday AS VARCHAR) AS isholiday, weekly_sales
+       FROM splits WHERE split = 'train' ORDER BY md5('42|' || store || '|' || dept || '|' || date) LIMIT 5000""",
+)
 def drift_sample(spark, sf_dir):
     train, _ = drift_sides(spark, sf_dir)
-    shown = storage_types(train.select("store", "dept", "date", "isholiday", "weekly_sales"), ["isholiday"])
-    return drift.sample(shown, 5000, ["store", "dept", "date"])
+    drawn = drift.sample(train.select("store", "dept", "date", "isholiday", "weekly_sales"), 5000, ["store", "dept", "date"])
+    return storage_types(drawn, ["isholiday"])

@@ -11,7 +11,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from weekgrid.functions import correlation
-from weekgrid.functions.columns import lenient_double, normalise_columns, rounded, truncate_to_long
+from weekgrid.functions.columns import lenient_double, normalise_columns, numeric_names, rounded, truncate_to_long
 from weekgrid.operators import profiling
 from weekgrid.plans.registry import query
 from weekgrid.plans.shared import panel
@@ -302,6 +302,16 @@ def corr_matrix_long(spark, sf_dir):
     return rounded(correlation.pair_correlations(gold, CORRELATED), 6)
 
 
+@query(
+    "corr_numeric_columns",
+    "\nUNION ALL\n".join(_corr_sql(a, b, "gold") for a, b in combinations(["weekly_sales", "temperature", "cpi", "sales_last_year"], 2)),
+)
+def corr_numeric_columns(spark, sf_dir):
+    """Columns chosen by type: the date and the store type are left out."""
+    some = panel(spark, sf_dir).stored_gold.select("date", "weekly_sales", "store_type", "temperature", "cpi", "sales_last_year")
+    return rounded(correlation.pair_correlations(some, numeric_names(some)), 6)
+
+
 LATE = ["weekly_sales", *MARKDOWNS]
 
 

@@ -163,3 +163,52 @@ def dq_suite_report(spark, sf_dir):
             contracts.run(p.silver_stores, "stores", contracts.STORES),
         ]
     )
+
+
+# A table that breaks each schema rule: doubled rows, no date, the store as text, a
+# column under another name. The lines below are written out by hand.
+BROKEN_RULES = [
+    contracts.columns_match("store", "dept", "date", "weekly_sales", "isholiday"),
+    contracts.columns_match("store", "dept", "weekly_sales", "holiday"),
+    contracts.exists("date"),
+    contracts.exists("dept"),
+    contracts.type_in("store", contracts.INTS),
+    contracts.type_in("dept", contracts.INTS),
+    contracts.between("weekly_sales", 0.0),
+    contracts.unique("store", "dept"),
+    contracts.not_null("date"),
+]
+BROKEN_SQL = """
+    SELECT 'broken' AS "table", rule, "column", params, 2 * n AS element_count, bad AS unexpected_count, success
+    FROM (SELECT count(*) AS n FROM sales),
+    LATERAL (VALUES
+        ('columns_match', 'store,dept,date,weekly_sales,isholiday', '', 0::BIGINT, false),
+        ('columns_match', 'store,dept,weekly_sales,holiday', '', 0::BIGINT, true),
+        ('exists', 'date', '', 0::BIGINT, false),
+        ('exists', 'dept', '', 0::BIGINT, true),
+        ('type_in', 'store', 'smallint,int,bigint', 0::BIGINT, false),
+        ('type_in', 'dept', 'smallint,int,bigint', 0::BIGINT, true),
+        ('between', 'weekly_sales', '[0.0, None]', 0::BIGINT, true),
+        ('unique', 'store,dept', '', 2 * n, false),
+        ('not_null', 'date', '', 0::BIGINT, false)) AS r(rule, "column", params, bad, success)"""
+
+
+def broken_report(spark, sf_dir):
+    sales = panel(spark, sf_dir).silver_sales
+    broken = sales.selectExpr("cast(store AS string) AS store", "dept", "weekly_sales", "isholiday AS holiday")
+    return contracts.run(broken.unionByName(broken), "broken", BROKEN_RULES)
+
+
+@query("dq_broken_schema", BROKEN_SQL)
+def dq_broken_schema(spark, sf_dir):
+    return broken_report(spark, sf_dir)
+
+
+@query(
+    "dq_broken_verdict",
+    """SELECT 'broken' AS "table", CAST(9 AS BIGINT) AS rules, CAST(5 AS BIGINT) AS failed_rules, false AS success
+       FROM sales GROUP BY ALL HAVING count(*) > 0""",
+)
+def dq_broken_verdict(spark, sf_dir):
+    """Five of the nine rules fail, so the table does."""
+    return contracts.verdict([broken_report(spark, sf_dir)])

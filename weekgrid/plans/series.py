@@ -69,6 +69,24 @@ def adf_by_store(spark, sf_dir):
     return timeseries.unit_root(parts, ["store"], "resid")
 
 
+@query(
+    "unit_root_lag0_by_store",
+    """WITH y AS (SELECT store, date, sum(weekly_sales) AS y FROM gold GROUP BY ALL),
+            d AS (SELECT store, lag(y) OVER (PARTITION BY store ORDER BY date) AS x,
+                         y - lag(y) OVER (PARTITION BY store ORDER BY date) AS dy FROM y),
+            r AS (SELECT store, count(x) AS n, regr_slope(dy, x) AS b, regr_sxx(dy, x) AS sxx, regr_syy(dy, x) AS syy
+                  FROM d GROUP BY store)
+       SELECT store, CAST(0 AS INTEGER) AS lags, CAST(n AS INTEGER) AS n,
+              round(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 6) AS statistic
+       FROM r""",
+)
+def unit_root_lag0_by_store(spark, sf_dir):
+    """The unit-root statistic without lagged differences, a plain regression."""
+    totals = panel(spark, sf_dir).stored_gold.groupBy("store", "date").agg(F.sum("weekly_sales").alias("y"))
+    found = timeseries.unit_root(totals, ["store"], "y", max_lag=0)
+    return rounded(found.select("store", "lags", "n", "statistic"), 6)
+
+
 ACF = f"""WITH {NETWORK}, c AS (SELECT t, y - (SELECT avg(y) FROM network) AS d FROM network)
     SELECT 'network' AS series, CAST(k AS INTEGER) AS lag,
            round(coalesce(sum(a.d * b.d), 0) / (SELECT sum(d * d) FROM c), 6) AS acf

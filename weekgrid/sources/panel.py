@@ -189,7 +189,8 @@ class Panel:
 
     @property
     def gold(self) -> DataFrame:
-        return build_gold(self.silver_sales, self.silver_features, self.silver_stores)
+        # Cleaning moves no date, so the weekly amounts have the bounds of the sales.
+        return build_gold(self.silver_sales, self.silver_features, self.silver_stores, bounds=span(self.amounts))
 
     @functools.cached_property
     def stored_gold(self) -> DataFrame:
