@@ -91,13 +91,15 @@ def test_search_halves_its_draws_on_one_matrix(spark, monkeypatch):
     plain, prepared = forecast.SharedMatrix.fit, forecast.fit_features
     monkeypatch.setattr(forecast.SharedMatrix, "fit", lambda self, drawn, n: fits.append((drawn[0], n)) or plain(self, drawn, n))
     monkeypatch.setattr(forecast, "fit_features", lambda *a, **k: fitted.append(1) or prepared(*a, **k))
-    runs = forecast.search(df, df, draws=4, seed=1, space={"trees": (4, 9), "depth": (2, 3)}, numeric=NUM, categorical=CAT).toPandas()
+    # Whole samples, as drawn ones depend on how a stored matrix is cut into files.
+    space = {"trees": (4, 9), "depth": (2, 3), "subsample": (1.0, 1.0), "feature_share": (1.0, 1.0)}
+    runs = forecast.search(df, df, draws=4, seed=1, space=space, numeric=NUM, categorical=CAT).toPandas()
     assert len(fitted) == 1 and len(runs) == 4
     assert [share for share, _ in forecast.rungs(4, 3)] == pytest.approx([1 / 9, 1 / 3, 1]) and [n for _, n in forecast.rungs(4, 3)] == [4, 2, 1]
     assert len(fits) == 4 + 2 + 1 and sum(n == trees for trees, n in fits) >= 1
     assert (runs["trees_fitted"] == runs["n_estimators"]).sum() >= 1 and runs["wmape_val"].notna().all()
     best = runs.loc[runs["wmape_val"].idxmin()]
-    drawn = forecast.draw_params(4, 1, forecast.SPACE | {"trees": (4, 9), "depth": (2, 3)})[int(best["run_id"][-3:])]
+    drawn = forecast.draw_params(4, 1, forecast.SPACE | space)[int(best["run_id"][-3:])]
     alone = forecast.fit(df, "boosting", forecast.boosting_params(int(best["trees_fitted"]), *drawn[1:]), NUM, CAT)
     assert forecast.forecast_metrics(forecast.predict(alone, df)).first()["wmape"] == pytest.approx(best["wmape_val"])
 
