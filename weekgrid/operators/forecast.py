@@ -121,15 +121,18 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """(feature, importance) of a tree model."""
+def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
+    """The columns behind the places of the feature vector."""
     schema = PipelineModel(model.stages[:-2]).transform(df.limit(0)).schema["features"]
     attrs = schema.metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for kind in attrs.values() for a in kind}
+    return [names[i].removesuffix("_full").removesuffix("_index") for i in range(len(names))]
+
+
+def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """(feature, importance) of a tree model."""
     values = regressor(model).featureImportances.toArray()
-    rows = [
-        (names[i].removesuffix("_full").removesuffix("_index"), float(v)) for i, v in enumerate(values)
-    ]
+    rows = [(name, float(v)) for name, v in zip(feature_names(model, df), values)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )

@@ -12,7 +12,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from weekgrid.functions.columns import rounded
-from weekgrid.operators import boosting, drift, explain, forecast, metrics, prep, splits
+from weekgrid.operators import attribution, boosting, drift, explain, forecast, metrics, prep, splits
 from weekgrid.operators import gold as gold_ops
 from weekgrid.plans.profile import typed_features
 from weekgrid.plans.registry import query
@@ -325,6 +325,48 @@ def forecast_shapley(spark, sf_dir):
     return explain.shapley(fitted(spark, sf_dir, "random_forest", "train"), rows, train, columns, KEYS)
 
 
+@query("forecast_tree_attribution")
+def forecast_tree_attribution(spark, sf_dir):
+    """How much each column moves the log forecasts of the test weeks, over all rows,
+    against all training weeks."""
+    train, _, test = parts(spark, sf_dir)
+    found = attribution.tree_attribution(fitted(spark, sf_dir, "leafwise"), test, train, KEYS)
+    return found.groupBy("feature").agg(F.avg(F.abs("attribution")).alias("mean_abs"), F.avg("attribution").alias("mean"))
+
+
+def fixed_tree_sql() -> str:
+    """Expected values of a three-split tree for all four coalitions of two features."""
+
+    def worth(a: bool, b: bool) -> str:
+        low = "CASE WHEN a <= 500 THEN 2.0 ELSE -1.0 END" if a else "(3.0 * p3 - 1.0)"
+        split = f"CASE WHEN b <= 0 THEN {low} ELSE 4.0 END" if b else f"(p2 * {low} + (1.0 - p2) * 4.0)"
+        return f"CASE WHEN a <= 0 THEN 1.0 ELSE {split} END" if a else f"(p0 + (1.0 - p0) * {split})"
+
+    none, a, b, both = worth(False, False), worth(True, False), worth(False, True), worth(True, True)
+    return f"""WITH g AS (SELECT store, dept, date, CAST(coalesce(lag_1_sales, 0) AS DOUBLE) AS a, CAST(coalesce(sales_last_year, 0) AS DOUBLE) AS b FROM gold),
+            p AS (SELECT count(*) FILTER (a <= 0) / count(*) AS p0, count(*) FILTER (a > 0 AND b <= 0) / count(*) FILTER (a > 0) AS p2,
+                         count(*) FILTER (a > 0 AND b <= 0 AND a <= 500) / count(*) FILTER (a > 0 AND b <= 0) AS p3 FROM g),
+            w AS (SELECT store, dept, date, {none} AS v0, {a} AS va, {b} AS vb, {both} AS vab FROM g, p),
+            f AS (SELECT *, 'lag_1_sales' AS feature, ((va - v0) + (vab - vb)) / 2 AS phi FROM w
+                  UNION ALL SELECT *, 'sales_last_year', ((vb - v0) + (vab - va)) / 2 FROM w)
+       SELECT store, dept, date, feature, round(phi + {OFF_TIES}, 6) AS attribution, round(v0 + {OFF_TIES}, 6) AS base_value,
+              round(vab + {OFF_TIES}, 6) AS score FROM f"""
+
+
+@query("tree_attribution_fixed", fixed_tree_sql())
+def tree_attribution_fixed(spark, sf_dir):
+    """Attribution of every gold row by a given tree, in which one feature splits twice."""
+    of = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    names = ["lag_1_sales", "sales_last_year"]
+    rows = panel(spark, sf_dir).stored_gold.select(*KEYS, F.array(*[of(c) for c in names]).alias("x"))
+    tree = boosting.Tree(feature=[0, -1, 1, 0, -1, -1, -1], bin=[0] * 7, cut=[0.0, 0.0, 0.0, 500.0, 0.0, 0.0, 0.0],
+                         left=[1, 0, 3, 5, 0, 0, 0], right=[2, 0, 4, 6, 0, 0, 0], value=[0.0, 1.0, 0.0, 0.0, 4.0, 2.0, -1.0])
+    model = boosting.TreesModel(trees=boosting.as_json([tree], 0.0))
+    found = attribution.attributed(rows, rows, attribution.ensemble_of(model, spark), KEYS, names)
+    off = {c: F.col(c) + OFF_TIES for c in ("attribution", "base_value", "score")}
+    return rounded(found.withColumns(off), 6)
+
+
 @query("forecast_recursive_4wk")
 def forecast_recursive_4wk(spark, sf_dir):
     model = fitted(spark, sf_dir, "boosting", "train+val+test")
