@@ -204,6 +204,29 @@ def test_silhouette_against_brute_force(spark, monkeypatch, tile):
     assert {r["id"]: r["silhouette"] for r in got} == pytest.approx(want)
 
 
+def test_silhouette_leaves_far_clusters_alone(spark, monkeypatch):
+    """Six clusters on a line: a point meets its own and at most both neighbours, and the
+    result is that of all distances. A point without a cluster gets 0."""
+    monkeypatch.setattr(segments, "TILE", 16)
+    rng = np.random.default_rng(3)
+    c = np.repeat(np.arange(6), 40)
+    pdf = pd.DataFrame({"id": range(240), "x": 10.0 * c + rng.normal(size=240), "y": rng.normal(size=240), "c": c})
+    points = spark.createDataFrame(pdf)
+    placed = points.select("id", F.col("c").cast("string").alias("cluster"), F.array("x", "y").alias("v"))
+    met = segments.nearby(placed, 2).groupBy("id", "cluster").agg(F.collect_set(F.col("near").cast("int")).alias("near")).collect()
+    assert all(set(r["near"]) <= {int(r["cluster"]) + k for k in (-1, 0, 1)} and int(r["cluster"]) in r["near"] for r in met) and len(met) == 240
+    xy = pdf[["x", "y"]].to_numpy()
+    d = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(-1))
+    want = {}
+    for i in range(240):
+        a = d[i][c == c[i]].sum() / 39
+        b = min(d[i][c == o].mean() for o in range(6) if o != c[i])
+        want[i] = (b - a) / max(a, b)
+    lost = spark.createDataFrame([(240, 0.0, 0.0, None)], points.schema)
+    got = {r["id"]: r["silhouette"] for r in segments.silhouette(points.unionByName(lost), "id", ["x", "y"], "c").collect()}
+    assert got == pytest.approx({**want, 240: 0.0})
+
+
 def test_clusters_are_numbered_by_size(spark, small_gold):
     found = segments.archetypes(segments.kmeans(segments.profiles(small_gold)))
     centres = sorted((r["cluster"], r["store_size"]) for r in segments.centres(found).collect())

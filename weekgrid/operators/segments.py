@@ -90,55 +90,81 @@ def elbow(store_profiles: DataFrame, most: int = 10, seed: int = 42) -> DataFram
     return spark.createDataFrame(costs, "k int, inertia double")
 
 
+def nearby(placed: DataFrame, width: int) -> DataFrame:
+    """``placed`` (id, cluster, v of ``width`` numbers) once per cluster ``near`` that a
+    point has to be compared with: its own and those that may be the nearest other one.
+
+    A point's mean distance to a cluster is at least its distance to the centre, and at
+    most the root of that squared plus the cluster's mean squared radius (Jensen's
+    inequality both times). A cluster whose lower bound is above another one's upper
+    bound is not the nearest. The driver holds one centre and radius per cluster.
+    """
+    known = placed.where(F.col("cluster").isNotNull())
+    centres = known.groupBy("cluster").agg(F.array(*[F.avg(F.col("v")[i]) for i in range(width)]).alias("m"))
+    apart = F.zip_with("v", "m", lambda x, y: (x - y) * (x - y))
+    spread = F.aggregate(apart, F.lit(0.0), lambda total, x: total + x)
+    rows = known.join(centres, "cluster").groupBy("cluster").agg(F.first("m").alias("m"), F.avg(spread).alias("radius")).orderBy("cluster").collect()
+    names = [r["cluster"] for r in rows]
+    middle, radius = np.array([r["m"] for r in rows], float).reshape(len(rows), width), np.array([r["radius"] for r in rows], float)
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty or not names:
+                continue
+            v = np.stack(pdf["v"].to_list()).astype(float)
+            low = np.column_stack([np.sqrt(((v - m) ** 2).sum(1)) for m in middle])
+            own = pdf["cluster"].to_numpy()[:, None] == np.array(names, object)
+            high = np.where(own, np.inf, np.sqrt(low**2 + radius)).min(1)
+            slack = 1e-9 * (np.sqrt((v**2).sum(1)) + np.sqrt((middle**2).sum(1)).max())  # of rounded bounds
+            asked = own | ~(low > (high * (1 + 1e-9) + slack)[:, None])
+            who, near = np.nonzero(asked)
+            yield pdf.iloc[who].assign(near=np.array(names, object)[near])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema)
+    return placed.mapInPandas(run, f"{fields}, near string")
+
+
 def silhouette(points: DataFrame, key: str, names: list[str], cluster: str) -> DataFrame:
     """(key, cluster, silhouette) by exact Euclidean distance.
 
-    All distances are needed, but none leaves a task: points are cut into tiles
-    of about ``TILE``, a task meets two tiles and returns one distance sum per
-    point and cluster. Tiles are drawn by hash, so a large cluster spreads out.
+    A point is compared with its own cluster and with those that bounds leave as the
+    nearest other one; points of clusters farther away are never met. No distance
+    leaves a task: the points of a cluster and the points that ask for it are cut
+    into tiles of about ``TILE``, a task meets two tiles and returns one distance sum
+    per point. Tiles are drawn by hash, so a large cluster spreads out. A cluster of
+    one point has silhouette 0, as has a point without a cluster.
     """
-    tiles = F.greatest(F.ceil(points.agg(F.count("*")).scalar() / F.lit(TILE)), F.lit(1)).cast("int")
     vector = F.array(*[F.col(c).cast("double") for c in names])
-    placed = points.select(
-        F.col(key).alias("id"),
-        F.col(cluster).cast("string").alias("cluster"),
-        vector.alias("v"),
-        tiles.alias("tiles"),
-        F.pmod(F.xxhash64(F.col(key)), tiles).cast("int").alias("own"),
+    placed = stored(points.select(F.col(key).alias("id"), F.col(cluster).cast("string").alias("cluster"), vector.alias("v")), "points")
+    asked = stored(nearby(placed, len(names)), "asked")
+    tiles = lambda n: F.ceil(F.col(n) / F.lit(TILE)).cast("int")
+    members = placed.where("cluster IS NOT NULL").groupBy(F.col("cluster").alias("near")).agg(F.count("*").alias("members"))
+    askers = asked.groupBy("near").agg(F.count("*").alias("askers"))
+    sizes = stored(members.join(askers, "near").withColumns({"rows": tiles("askers"), "columns": tiles("members")}), "cluster-sizes")
+    # A tile of those who ask meets every tile of the cluster, and the other way round.
+    salt = F.xxhash64("id")
+    asks = asked.join(sizes, "near").select(
+        "id", "cluster", "v", "near", F.pmod(salt, "rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("asks")
+    )
+    told = placed.withColumn("near", F.col("cluster")).join(sizes, "near").select(
+        "id", "cluster", "v", "near", F.explode(F.sequence(F.lit(0), F.col("rows") - 1).cast("array<long>")).alias("i"), F.pmod(salt, "columns").cast("int").alias("j"), F.lit(False).alias("asks")
     )
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    asks = spread.select("id", "cluster", "v", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("asks"))
-    told = spread.select("id", "cluster", "v", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"))
 
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["asks"]], pdf[~pdf["asks"]]
-        names_out = ["id", "cluster", "near", "total"]
         if left.empty or right.empty:
-            return pd.DataFrame(columns=names_out)
+            return pd.DataFrame(columns=["id", "cluster", "near", "total"])
         a, b = np.stack(left["v"].to_list()), np.stack(right["v"].to_list())
-        codes, labels = pd.factorize(right["cluster"])
-        member = np.eye(len(labels))[codes]
         total = np.concatenate(
-            [
-                np.sqrt(((a[s : s + 256, None, :] - b[None, :, :]) ** 2).sum(-1)) @ member
-                for s in range(0, len(a), 256)
-            ]
-        )
-        return pd.DataFrame(
-            {
-                "id": np.repeat(left["id"].to_numpy(), len(labels)),
-                "cluster": np.repeat(left["cluster"].to_numpy(), len(labels)),
-                "near": np.tile(np.asarray(labels, dtype=object), len(left)),
-                "total": total.ravel(),
-            }
+            [np.sqrt(((a[s : s + 256, None, :] - b[None, :, :]) ** 2).sum(-1)).sum(1) for s in range(0, len(a), 256)]
         )
+        return left[["id", "cluster", "near"]].assign(total=total)
 
     key_type = points.schema[key].dataType.simpleString()
-    partial = asks.unionByName(told).groupBy("i", "j").applyInPandas(
+    partial = asks.unionByName(told).groupBy("near", "i", "j").applyInPandas(
         sums, f"id {key_type}, cluster string, near string, total double"
     )
-    sizes = points.groupBy(F.col(cluster).cast("string").alias("near")).agg(F.count("*").alias("members"))
-    per_cluster = partial.groupBy("id", "cluster", "near").agg(F.sum("total").alias("total")).join(sizes, "near")
+    per_cluster = partial.groupBy("id", "cluster", "near").agg(F.sum("total").alias("total")).join(sizes.select("near", "members"), "near")
     own = F.col("near") == F.col("cluster")
     figures = per_cluster.groupBy("id", "cluster").agg(
         F.max(F.when(own, F.col("members"))).alias("size"),
