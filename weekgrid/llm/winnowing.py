@@ -95,12 +95,15 @@ def with_next(docs: DataFrame, columns: dict[str, Column], id_col: str, text_col
     lone = 1 + buckets * (facts["n"] - facts["named"]) // max(facts["n"], 1)
     single = sorted(set(bounds))
     first = {b: lone + 2 * i + sum(bounds.count(x) - 1 for x in single[:i]) for i, b in enumerate(single)}
-    dealt = lambda k: F.pmod(F.xxhash64("text"), F.lit(k)).cast("int")
-    bucket = F.lit(lone + 2 * len(single) + len(bounds) - len(single))
-    for b in reversed(single):
-        mine = F.lit(first[b] + 1) + dealt(bounds.count(b))
-        bucket = F.when(F.col("doc_id") < b, first[b]).when(F.col("doc_id") == b, mine).otherwise(bucket)
-    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), dealt(lone)).otherwise(bucket))
+    dealt = lambda k: F.pmod(F.xxhash64("text"), k).cast("int")
+    # Looked up in arrays: a chain of conditions would nest as deep as there are ranges.
+    listed = lambda values, kind: F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+    below = F.size(F.filter(listed(single, "long"), lambda b: b < F.col("doc_id")))
+    of = lambda values, kind: F.element_at(listed(values, kind), below + 1)
+    mine = 1 + dealt(of([bounds.count(b) for b in single] + [1], "int"))
+    start = of([first[b] for b in single] + [lone + 2 * len(single) + len(bounds) - len(single)], "int")
+    bucket = start + F.when(F.col("doc_id") == of([*single, None], "long"), mine).otherwise(0)
+    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), dealt(F.lit(lone))).otherwise(bucket))
     # One row per range: its first document follows the last one of the range above.
     # Ids are compared first, so that texts are only compared where ids are equal.
     highest = F.broadcast(rows.groupBy("bucket").agg(F.max("doc_id").alias("top")).withColumnRenamed("bucket", "in_bucket"))
