@@ -216,6 +216,27 @@ def test_unit_root_separates_stationary_from_walk(spark):
     assert not b["stationary"] and b["p_value"] > 0.05
 
 
+def test_unit_root_far_from_zero(spark):
+    """A constant changes no statistic, however large it is next to the movements."""
+    walk = np.cumsum(np.random.default_rng(3).normal(size=344))
+    rows = [(k, i, float(v + level)) for k, level in (("near", 0.0), ("far", 1e9)) for i, v in enumerate(1e3 * walk)]
+    df = spark.createDataFrame(rows, "k string, date int, y double")
+    for limit in (0, 4):
+        got = {r["k"]: r for r in timeseries.unit_root(df, ["k"], "y", max_lag=limit).collect()}
+        assert got["far"]["lags"] == got["near"]["lags"]
+        assert got["far"]["statistic"] == pytest.approx(got["near"]["statistic"], rel=1e-6)
+    y, dy = 1e3 * walk[:-1], 1e3 * np.diff(walk)
+    x, d = y - y.mean(), dy - dy.mean()
+    b = (x @ d) / (x @ x)
+    want = b / np.sqrt(((d - b * x) ** 2).sum() / (len(x) - 2) / (x @ x))
+    assert timeseries.unit_root(df.where("k = 'far'"), ["k"], "y", max_lag=0).first()["statistic"] == pytest.approx(want, rel=1e-6)
+
+
+def test_unit_root_without_a_change_of_level(spark):
+    df = spark.createDataFrame([("s", i, 5.0 if i < 9 else 7.0) for i in range(10)], "k string, date int, y double")
+    assert timeseries.unit_root(df, ["k"], "y", max_lag=0).first()["statistic"] is None
+
+
 def test_unit_root_without_enough_data(spark):
     df = spark.createDataFrame([("s", 1, 2.0), ("s", 2, 2.0)], "k string, date int, y double")
     assert timeseries.unit_root(df, ["k"], "y").first()["statistic"] is None

@@ -119,18 +119,24 @@ def partial_autocorrelation(acf: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fit(y: np.ndarray, lags: int, skip: int) -> tuple[float, float, int]:
-    """t-ratio of the level term, AIC and sample size of the lagged regression."""
+    """t-ratio of the level term, AIC and sample size of the lagged regression.
+
+    The constant is taken out by centring, and regressors have unit length: a level
+    far from zero would else make the products of the regressors look singular."""
     diff = np.diff(y)
     rows = len(diff) - skip
-    columns = [y[skip:-1], np.ones(rows)]
-    columns += [diff[skip - j : len(diff) - j] for j in range(1, lags + 1)]
+    columns = [y[skip:-1], *(diff[skip - j : len(diff) - j] for j in range(1, lags + 1))]
     x, target = np.column_stack(columns), diff[skip:]
+    x, target = x - x.mean(0), target - target.mean()
+    length = np.sqrt((x * x).sum(0))
+    x = x / np.where(length > 0, length, 1.0)
     beta = np.linalg.lstsq(x, target, rcond=None)[0]
     sse = float(((target - x @ beta) ** 2).sum())
-    dof = rows - x.shape[1]
-    deviation = np.sqrt(sse / dof * np.linalg.pinv(x.T @ x)[0, 0])
-    aic = rows * (np.log(2 * np.pi * sse / rows) + 1) + 2 * x.shape[1]
-    return float(beta[0] / deviation), float(aic), rows
+    terms = lags + 2  # with the constant
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = beta[0] / np.sqrt(sse / (rows - terms) * np.linalg.pinv(x.T @ x)[0, 0])
+        aic = rows * (np.log(2 * np.pi * sse / rows) + 1) + 2 * terms
+    return float(ratio), float(aic), rows
 
 
 def unit_root(df: DataFrame, keys: list[str], value: str, date: str = "date", max_lag: int | None = None) -> DataFrame:
@@ -149,6 +155,8 @@ def unit_root(df: DataFrame, keys: list[str], value: str, date: str = "date", ma
             return head.assign(**dict.fromkeys(names))[[*keys, *names]]
         best = min(range(limit + 1), key=lambda p: _fit(y, p, limit)[1])
         stat, _, n = _fit(y, best, best)
+        if np.isnan(stat):  # the level of the weeks compared never changes
+            return head.assign(**dict.fromkeys(names))[[*keys, *names]]
         if stat > TAU_MAX:
             p = 1.0
         elif stat < TAU_MIN:
