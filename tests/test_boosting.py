@@ -95,6 +95,34 @@ def test_symmetric_equals_brute_force(spark):
     assert [got[round(y, 9)] for y in Y] == pytest.approx(want.tolist(), abs=1e-8)
 
 
+def test_sums_are_carried_over_trees_and_partitions(spark):
+    """Sums that are moved, not counted, stay those of brute force, also where many
+    partitions, some of them empty, are merged."""
+    rows = matrix(spark)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        leafwise = predicted(boosting.fit_trees(rows, "leaf", rounds=12, leaves=5, rate=0.3, min_rows=4), rows)
+        level = predicted(boosting.fit_trees(rows, "symmetric", rounds=12, depth=2, rate=0.3, min_rows=4, l2=3.0), rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert [leafwise[round(y, 9)] for y in Y] == pytest.approx(by_leaf(X, Y, 12, 5, 0.3, 4, 0.0).tolist(), abs=1e-8)
+    assert [level[round(y, 9)] for y in Y] == pytest.approx(symmetric(X, Y, 12, 2, 0.3, 4, 3.0).tolist(), abs=1e-8)
+
+
+@pytest.mark.parametrize("growth", ["leaf", "symmetric"])
+def test_known_sums_are_not_counted_again(spark, monkeypatch, growth):
+    """Trees that split as the one before cost no pass."""
+    x = np.arange(40.0).reshape(-1, 1)
+    y = np.where(x[:, 0] < 15, 1.0, 3.0) + 1e-3 * x[:, 0]
+    passes, count = [], boosting.Booster.histograms
+    monkeypatch.setattr(boosting.Booster, "histograms", lambda self, *a: passes.append(1) or count(self, *a))
+    rows = matrix(spark, x, y)
+    got = predicted(boosting.fit_trees(rows, growth, rounds=6, leaves=2, depth=1, min_rows=1), rows)
+    assert [got[round(v, 9)] for v in y] == pytest.approx(by_leaf(x, y, 6, 2, 0.1, 1, 0.0).tolist(), abs=1e-8)
+    assert len(passes) == 2
+
+
 def test_scores_are_stored_on_the_way(spark, monkeypatch):
     rows = matrix(spark)
     want = predicted(boosting.fit_trees(rows, rounds=5, leaves=4), rows)

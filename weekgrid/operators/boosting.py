@@ -1,8 +1,9 @@
 """Gradient boosting on histograms: leaf-wise and symmetric trees, ordered target statistics.
 
-Rows stay in tasks as small bin numbers. A pass over them adds up, per task, the
-gradients of the wanted leaves by feature and bin; Spark merges the sums, and the
-driver, which only ever sees leaves x features x bins numbers, picks the splits.
+Rows stay in tasks as blocks of small bin numbers. A pass over them adds up, per task,
+the gradients of the wanted leaves by feature and bin; Spark merges the sums, and the
+driver, which only ever sees leaves x features x bins numbers, picks the splits. Sums
+that follow from those of the tree before are not counted again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -61,6 +62,17 @@ class Tree:
     def predict(self, x: np.ndarray, edges: list) -> np.ndarray:
         return np.array(self.value)[self.leaf_of(x, edges)]
 
+    def rows_by_leaf(self, codes: np.ndarray) -> dict[int, np.ndarray]:
+        """Rows of each leaf, of a block of bin numbers (features x rows). Parents come
+        before children in the lists."""
+        held = {0: np.arange(codes.shape[1])}
+        for node, feature in enumerate(self.feature):
+            if feature >= 0:
+                rows = held.pop(node)
+                goes = codes[feature, rows] <= self.bin[node]
+                held[self.left[node]], held[self.right[node]] = rows[goes], rows[~goes]
+        return held
+
 
 def as_json(trees: list[Tree], base: float) -> str:
     return json.dumps({"base": base, "trees": [vars(t) for t in trees]})
@@ -184,22 +196,44 @@ def bin_edges(df: DataFrame, features: int, bins: int) -> list[np.ndarray]:
     return edges
 
 
+def as_block(codes: np.ndarray, y: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    parts = [pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in (codes, y, score)]
+    return pa.RecordBatch.from_arrays(parts, ["x", "y", "score"])
+
+
+def scored(trees: list[Tree], codes: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """The scores of a block after some more trees."""
+    score = score.copy()
+    for tree in trees:
+        for leaf, rows in tree.rows_by_leaf(codes).items():
+            score[rows] += tree.value[leaf]
+    return score
+
+
 @dataclass
 class Leaf:
-    node: int
     total: np.ndarray  # gradient sum, rows
     cells: np.ndarray  # features x bins x 2
     gain: float = 0.0
     feature: int = -1
     bin: int = 0
+    node: int = 0
+    split: tuple[int, int] | None = None  # feature and bin that the children are of
+    children: list[Leaf] = field(default_factory=list)
+    value: float | None = None  # of a leaf of the finished tree
+
+
+BLOCK = "x binary, y binary, score binary"  # one row per block: bins (features x rows), labels, scores
 
 
 class Booster:
-    """One fit: the binned table, the trees so far and their scores.
+    """One fit: the binned blocks, the trees so far and their scores.
 
     ``growth`` is ``leaf`` (the leaf with the highest gain is split next, up to
     ``leaves``) or ``symmetric`` (all leaves of a level get the one split with the
-    highest summed gain, up to ``depth`` levels). The loss is squared error.
+    highest summed gain, up to ``depth`` levels). The loss is squared error: a tree
+    moves all gradients of a leaf by the leaf's value, so the sums of its leaves, and
+    of all that is made of them, are known for the next tree without a pass.
     """
 
     def __init__(self, rows: DataFrame, growth: str, rounds: int, leaves: int, depth: int, rate: float, bins: int, min_rows: int, l2: float):
@@ -215,65 +249,58 @@ class Booster:
 
         def binned(batches):
             for batch in batches:
-                x = batch.column(0).flatten().to_numpy().reshape(-1, d)
-                codes = np.column_stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)]).astype(kind)
-                raw = pa.array([r.tobytes() for r in codes], pa.binary())
-                score = pa.array(np.full(len(x), base))
-                yield pa.RecordBatch.from_arrays([raw, batch.column(1), score], ["x", "y", "score"])
+                if batch.num_rows:
+                    x = batch.column(0).flatten().to_numpy().reshape(-1, d)
+                    codes = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)]).astype(kind)
+                    yield as_block(codes, batch.column(1).to_numpy(), np.full(len(x), base))
 
         self.kind = kind
-        self.rows = stored(arrays.mapInArrow(binned, "x binary, y double, score double"), "binned")
         self.trees: list[Tree] = []
-        self.done = 0  # trees whose values are in the stored scores
+        self.keep(arrays.mapInArrow(binned, BLOCK) if d else arrays.sparkSession.createDataFrame([], BLOCK))
 
-    def reader(self):
-        kind, d, late = self.kind, self.d, self.trees[self.done :]
+    def keep(self, blocks: DataFrame) -> None:
+        """Writes the blocks, with the scores of the trees so far, for the next passes."""
+        kind, d = self.kind, self.d
+        self.rows, self.done = stored(blocks, "binned"), len(self.trees)
 
-        def read(batch):
-            x = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind).reshape(-1, d)
-            score = batch.column(2).to_numpy() + sum((t.predict(x, t.bin) for t in late), np.zeros(len(x)))
-            return x, batch.column(1).to_numpy(), score
+        def read(row):
+            return np.frombuffer(bytes(row[0]), kind).reshape(d, -1), np.frombuffer(bytes(row[1])), np.frombuffer(bytes(row[2]))
 
-        return read
+        self.blocks = self.rows.rdd.map(read).persist(StorageLevel.MEMORY_AND_DISK)
 
     def store_scores(self) -> None:
-        read = self.reader()
+        late, before = self.trees[self.done :], self.blocks
 
-        def run(batches):
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(read(batch)[2])], ["x", "y", "score"])
+        def run(block):
+            codes, y, score = block
+            return codes.tobytes(), y.tobytes(), scored(late, codes, score).tobytes()
 
-        self.rows = stored(self.rows.mapInArrow(run, "x binary, y double, score double"), "scores")
-        self.done = len(self.trees)
+        self.keep(self.rows.sparkSession.createDataFrame(before.map(run), BLOCK, verifySchema=False))
+        before.unpersist()
 
     def histograms(self, tree: Tree, wanted: list[int]) -> dict[int, np.ndarray]:
         """Sums of gradients and rows by feature and bin, for the wanted nodes of ``tree``."""
-        read, d, bins = self.reader(), self.d, self.bins
-        place = np.full(len(tree.feature), -1)
-        place[wanted] = np.arange(len(wanted))
-
-        def run(batches):
-            cells = np.zeros((2, len(wanted) * d * bins))
-            for batch in batches:
-                x, y, score = read(batch)
-                slot = place[tree.leaf_of(x, tree.bin)]
-                mine = slot >= 0
-                gradient = (score - y)[mine]
-                start, x = slot[mine] * d * bins, x[mine].astype(np.int64)
+        late, d, bins = self.trees[self.done :], self.d, self.bins
+
+        def add(cells, block):
+            codes, y, score = block
+            gradient = scored(late, codes, score) - y
+            cells = np.zeros((len(wanted), d, bins, 2)) if cells is None else cells
+            rows = tree.rows_by_leaf(codes)
+            for own, node in zip(cells, wanted):
+                here = rows[node]
+                g = gradient[here]
                 for f in range(d):
-                    at = start + f * bins + x[:, f]
-                    cells[0] += np.bincount(at, gradient, cells.shape[1])
-                    cells[1] += np.bincount(at, minlength=cells.shape[1])
-            at = np.flatnonzero(cells[1])
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[0, at]), pa.array(cells[1, at])], ["at", "g", "n"])
-
-        merged = self.rows.mapInArrow(run, "at long, g double, n double").groupBy("at").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-        table = merged.toArrow()
-        cells = np.zeros((len(wanted) * d * bins, 2))
-        at = table["at"].to_numpy()
-        cells[at, 0], cells[at, 1] = table["g"].to_numpy(), table["n"].to_numpy()
-        cells = cells.reshape(len(wanted), d, bins, 2)
-        return {node: cells[i] for i, node in enumerate(wanted)}
+                    code = codes[f, here]
+                    own[f, :, 0] += np.bincount(code, g, bins)
+                    own[f, :, 1] += np.bincount(code, minlength=bins)
+            return cells
+
+        def merge(a, b):
+            return b if a is None else a if b is None else a + b
+
+        cells = self.blocks.treeAggregate(None, add, merge)
+        return dict(zip(wanted, np.zeros((len(wanted), d, bins, 2)) if cells is None else cells))
 
     def worth(self, g, n):
         return g * g / np.maximum(n + self.l2, 1e-12)
@@ -286,8 +313,8 @@ class Booster:
         fits = (left[..., 1] >= self.min_rows) & (right[..., 1] >= self.min_rows)
         return np.where(fits, gain, -np.inf)
 
-    def leaf(self, node: int, cells: np.ndarray) -> Leaf:
-        found = Leaf(node, cells[0].sum(0), cells)
+    def leaf(self, cells: np.ndarray) -> Leaf:
+        found = Leaf(cells[0].sum(0), cells)
         gain = self.gains(cells, found.total)
         if gain.size:
             best = int(gain.argmax())  # of equal ones the first feature, then the lowest bin
@@ -295,60 +322,84 @@ class Booster:
             found.gain = float(gain.flat[best])
         return found
 
-    def halves(self, tree: Tree, parents: list[tuple[Leaf, int, int]]) -> dict[int, Leaf]:
+    def halves(self, tree: Tree, parents: list[Leaf]) -> None:
         """Children (left, right) of split leaves in one pass: the smaller one is counted,
         the other is what is left of the parent."""
         smaller = []
-        for parent, left, right in parents:
+        for parent in parents:
+            left, right = tree.left[parent.node], tree.right[parent.node]
             n_left = parent.cells[tree.feature[parent.node], : tree.bin[parent.node] + 1, 1].sum()
-            smaller.append((left, right) if 2 * n_left <= parent.total[1] else (right, left))
-        counted = self.histograms(tree, [a for a, _ in smaller])
-        out = {}
-        for (parent, *_), (a, b) in zip(parents, smaller):
-            out[a], out[b] = self.leaf(a, counted[a]), self.leaf(b, parent.cells - counted[a])
-        return out
-
-    def cut(self, tree: Tree, leaf: Leaf, feature: int, bin_: int) -> tuple[int, int]:
-        return tree.split(leaf.node, feature, bin_, float(self.edges[feature][bin_]))
-
-    def grow_by_leaf(self) -> Tree:
+            smaller.append(left if 2 * n_left <= parent.total[1] else right)
+        counted = self.histograms(tree, smaller)
+        for parent, node in zip(parents, smaller):
+            one, other = self.leaf(counted[node]), self.leaf(parent.cells - counted[node])
+            parent.split = (tree.feature[parent.node], tree.bin[parent.node])
+            parent.children = [one, other] if node == tree.left[parent.node] else [other, one]
+            self.place(tree, parent)
+
+    def place(self, tree: Tree, parent: Leaf) -> None:
+        """Gives the children the nodes of the split."""
+        parent.children[0].node, parent.children[1].node = tree.left[parent.node], tree.right[parent.node]
+
+    def cut(self, tree: Tree, node: int, feature: int, bin_: int) -> None:
+        tree.split(node, feature, bin_, float(self.edges[feature][bin_]))
+
+    def moved(self, old: Leaf, value: float | None = None) -> Leaf:
+        """A node of the finished tree, or the children of its leaves if counted, with the
+        sums after that tree's step."""
+        below = value is not None
+        value = value if below else old.value
+        new_children = [] if below else [self.moved(child, value) for child in old.children]
+        if value is None:
+            cells = new_children[0].cells + new_children[1].cells
+        else:
+            cells = old.cells.copy()
+            cells[..., 0] += value * cells[..., 1]
+        new = self.leaf(cells)
+        new.split, new.children = old.split, new_children
+        return new
+
+    def grow_by_leaf(self, root: Leaf) -> Tree:
         """Best-first growth. A pass counts the children of all leaves that may still be
         split, before it is known which will be: a leaf's gain does not depend on the
         other leaves, so the tree is that of splitting one at a time."""
         draft = Tree()
-        root = self.leaf(0, self.histograms(draft, [0])[0])
-        known: dict[int, list[Leaf]] = {}
+
+        def drawn(x: Leaf) -> None:
+            if x.split != (x.feature, x.bin):
+                x.children = []
+            if x.children:
+                self.cut(draft, x.node, x.feature, x.bin)
+                self.place(draft, x)
+                for child in x.children:
+                    drawn(child)
+
+        drawn(root)  # what the tree before has left known
         while True:
             # Replay the best-first order as far as the known children allow.
-            open_, chosen = [root], []
+            tree, open_ = Tree(), [(root, 0)]
             while len(open_) < self.leaves:
-                best = max(open_, key=lambda x: (x.gain, -x.node))
-                if best.gain <= 0 or best.node not in known:
+                at = max(range(len(open_)), key=lambda i: (open_[i][0].gain, -open_[i][1]))
+                best, node = open_[at]
+                if best.gain <= 0 or not best.children:
                     break
-                open_.remove(best)
-                chosen.append(best)
-                open_ += known[best.node]
-            ahead = [x for x in open_ if x.gain > 0 and x.node not in known]
+                del open_[at]
+                self.cut(tree, node, best.feature, best.bin)
+                open_ += zip(best.children, (tree.left[node], tree.right[node]))
+            ahead = [x for x, _ in open_ if x.gain > 0 and not x.children]
             if len(open_) >= self.leaves or not ahead:
                 break
             room = self.leaves - len(open_)
             ahead = sorted(ahead, key=lambda x: (-x.gain, x.node))[:room]
-            parents = [(x, *self.cut(draft, x, x.feature, x.bin)) for x in ahead]
-            fresh = self.halves(draft, parents)
-            for parent, left, right in parents:
-                known[parent.node] = [fresh[left], fresh[right]]
-        tree, name = Tree(), {0: 0}
-        for parent in chosen:
-            left, right = self.cut(tree, Leaf(name[parent.node], parent.total, parent.cells), parent.feature, parent.bin)
-            for child, at in zip(known[parent.node], (left, right)):
-                name[child.node] = at
-        for x in open_:
-            tree.value[name[x.node]] = self.step(x.total)
+            for x in ahead:
+                self.cut(draft, x.node, x.feature, x.bin)
+            self.halves(draft, ahead)
+        for x, node in open_:
+            x.value = tree.value[node] = self.step(x.total)
         return tree
 
-    def grow_symmetric(self) -> Tree:
-        tree = Tree()
-        level = [self.leaf(0, self.histograms(tree, [0])[0])]
+    def grow_symmetric(self, root: Leaf) -> Tree:
+        tree, level = Tree(), [root]
         for _ in range(self.depth):
             total = np.zeros((self.d, self.bins - 1))
             for x in level:
@@ -357,21 +408,31 @@ class Booster:
             if not total.size or total.max() <= 0:
                 break
             feature, bin_ = divmod(int(total.argmax()), total.shape[1])
-            parents = [(x, *self.cut(tree, x, feature, bin_)) for x in level]
-            fresh = self.halves(tree, parents)
-            level = [fresh[child] for _, *both in parents for child in both]
+            known = all(x.children and x.split == (feature, bin_) for x in level)
+            for x in level:
+                self.cut(tree, x.node, feature, bin_)
+                if known:
+                    self.place(tree, x)
+            if not known:
+                self.halves(tree, level)
+            level = [child for x in level for child in x.children]
         for x in level:
-            tree.value[x.node] = self.step(x.total)
+            x.children = []
+            x.value = tree.value[x.node] = self.step(x.total)
         return tree
 
     def step(self, total: np.ndarray) -> float:
         return float(-self.rate * total[0] / (total[1] + self.l2)) if total[1] else 0.0
 
     def fit(self) -> TreesModel:
-        for _ in range(self.rounds if self.d else 0):
+        rounds = self.rounds if self.d else 0
+        root = self.leaf(self.histograms(Tree(), [0])[0]) if rounds else None
+        for _ in range(rounds):
             if len(self.trees) - self.done >= STORE_EVERY:
                 self.store_scores()
-            self.trees.append(self.grow_by_leaf() if self.growth == "leaf" else self.grow_symmetric())
+            self.trees.append(self.grow_by_leaf(root) if self.growth == "leaf" else self.grow_symmetric(root))
+            root = self.moved(root)
+        self.blocks.unpersist()
         return TreesModel(trees=as_json(self.trees, self.base))
 
 
