@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import types
 import zlib
 
 import numpy as np
@@ -303,3 +304,18 @@ def test_winnowing_without_spaces(spark):
     want = {"one two": ["one", "two"], "a" * 12: ["a" * 12], "b abcdefghijkl😀\nc": ["b", "abcdefghijkl", "bcdefghijkl😀", "c"], "😀é ": ["😀é"]}
     found = spark.createDataFrame([(t,) for t in want], "text string")
     assert {r["text"]: r["t"] for r in found.select("text", winnowing.tokens(found["text"]).alias("t")).collect()} == want
+
+
+def test_packing_gives_easy_words_to_the_model():
+    """Ids are those of the whole library, and easy words do not pass its text stages."""
+    encoder = packing.WordEncoder(packing.VOCABULARY)
+    easy = ["the", "Word", "WORD,", "ende.", "a!", "zqxjkv?", "I", "naive;", "endoftext"]
+    hard = ["naïve", "it's", "a1", "x,y", "end..", "K", "<|endoftext|>", "İ", "'s", "-", "42", "a<|endoftext|>"]
+    mixed = [w for pair in zip(easy, hard) for w in pair] + hard[len(easy):]
+    ids, ends = encoder.learn([w.encode() for w in mixed])
+    want = [encoder.core.encode(w, add_special_tokens=False).ids for w in mixed]
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == want
+    want = [encoder.core.encode(w, add_special_tokens=False).ids for w in easy]
+    encoder.core = types.SimpleNamespace(model=encoder.core.model)  # no text stages
+    ids, ends = encoder.learn([w.encode() for w in easy])
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == want

@@ -10,7 +10,9 @@ no row moves between tasks.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -24,6 +26,10 @@ from weekgrid.llm.common import cached, rows_of, slices_of, stored, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH, END = 2048, 1
+# A word of these letters and marks is at most two pre-tokens, whose bytes the vocabulary
+# changes by case only.
+EASY = re.compile(r"([A-Za-z]+)([,.;:!?]?)")
+PART = re.compile(r"[A-Za-z]*[,.;:!?]?")
 WORDS, CHUNK = 200_000, 2_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
@@ -38,19 +44,32 @@ class WordEncoder:
     def __init__(self, path: str, size: int = WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.core = tokenizers.Tokenizer.from_file(path)
+        added = [t.content for t in self.core.get_added_tokens_decoder().values()]
+        # An added token that may stand inside an easy word would be found there.
+        self.easy = EASY.fullmatch if path == VOCABULARY and not any(PART.fullmatch(t) for t in added) else lambda text: None
         self.size = size
         self.known: dict[bytes, int] = {}  # number of a kept word
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # of kept words, end to end
 
     def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, encoded as one text and dealt out by character offsets, and
-        where each word's ids end."""
+        """Ids of the words, and where each word's ids end. Easy words go to the model
+        itself; the others are encoded as one text and dealt out by character offsets."""
         texts = [w.decode() for w in words]
-        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-        found = self.core.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(found.ids, np.uint32)
-        starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
-        return ids, np.searchsorted(starts, ends)
+        easy = [self.easy(t) for t in texts]
+        rest = [i for i, m in enumerate(easy) if m is None]
+        tokenize = self.core.model.tokenize
+        marks = {m: [x.id for x in tokenize(m)] for m in {m[2] for m in easy if m and m[2]}}
+        own = [m and [x.id for x in tokenize(m[1].lower())] + marks.get(m[2], []) for m in easy]
+        if rest:
+            ends = np.cumsum(np.fromiter((len(texts[i]) + 1 for i in rest), np.int64, len(rest)))
+            found = self.core.encode(" ".join(texts[i] for i in rest), add_special_tokens=False)
+            ids = found.ids
+            starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
+            cuts = np.searchsorted(starts, ends).tolist()
+            for i, first, last in zip(rest, [0, *cuts], cuts):
+                own[i] = ids[first:last]
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        return np.fromiter(chain.from_iterable(own), np.uint32, int(sizes.sum())), np.cumsum(sizes)
 
     def keep(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
         room = max(min(self.size - len(self.known), len(words)), 0)
