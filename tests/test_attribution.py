@@ -2,9 +2,13 @@
 
 import itertools
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.feature import VectorIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -113,3 +117,12 @@ def test_forecast_rows_add_up(spark, small_panel, monkeypatch):
         both = sums.join(model.transform(test).select(*models.KEYS, "log_prediction"), models.KEYS)
         off = both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("a") + F.col("b") - F.col("s"))).alias("d"), F.max(F.abs(F.col("s") - F.col("log_prediction"))).alias("p")).first()
         assert off["n"] == test.count() > 0 and off["d"] < 1e-9 and off["p"] < 1e-9, name
+
+
+def test_workers_need_no_copy_of_the_library(tmp_path):
+    """What the tasks run and hold is read where the package is not installed."""
+    tree = attribution.Nodes(*(np.array(v) for v in ([-1], [0], [0], [0.0], [1.0])), {})
+    sent = cloudpickle.dumps((attribution.attribute, attribution.blocks, attribution.Ensemble(0.0, [tree])))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    read = "import pickle, sys; pickle.load(sys.stdin.buffer)"
+    subprocess.run([sys.executable, "-c", read], input=sent, cwd=tmp_path, env=env, check=True)

@@ -123,6 +123,22 @@ def test_known_sums_are_not_counted_again(spark, monkeypatch, growth):
     assert len(passes) == 2
 
 
+def test_a_level_costs_one_pass(spark, monkeypatch):
+    """All leaves that may be split are counted together, in whatever order they will be."""
+    passes, count = [], boosting.Booster.histograms
+    monkeypatch.setattr(boosting.Booster, "histograms", lambda self, *a: passes.append(1) or count(self, *a))
+    rows = matrix(spark)
+    model = boosting.fit_trees(rows, rounds=1, leaves=16, rate=0.3, min_rows=4)
+    got = predicted(model, rows)
+    assert [got[round(y, 9)] for y in Y] == pytest.approx(by_leaf(X, Y, 1, 16, 0.3, 4, 0.0).tolist(), abs=1e-8)
+    (tree,), _ = boosting.from_json(model.getOrDefault(model.trees))
+    depth = [0] * len(tree.feature)
+    for node, feature in enumerate(tree.feature):
+        if feature >= 0:
+            depth[tree.left[node]] = depth[tree.right[node]] = depth[node] + 1
+    assert len(passes) <= 1 + max(depth)
+
+
 def test_scores_are_stored_on_the_way(spark, monkeypatch):
     rows = matrix(spark)
     want = predicted(boosting.fit_trees(rows, rounds=5, leaves=4), rows)

@@ -5,12 +5,11 @@ by the shares of the background rows that went there. For one leaf this is a pro
 game: each feature on its path gives 1 or 0 if it is in (its conditions hold or not)
 and the product of its shares if it is out. The Shapley value of a product game is
 an integral of a polynomial over [0, 1], which Gauss-Legendre points give exactly, so
-no subsets are listed. Rows stay in their tasks; trees are broadcast.
+no subsets are listed. Rows stay in their tasks; trees travel with the code.
 """
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -98,11 +97,15 @@ def leaves_of(tree: Nodes, counts: np.ndarray) -> list[Leaf]:
     return found
 
 
-@functools.lru_cache(maxsize=None)
+_points: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def points(features: int) -> tuple[np.ndarray, np.ndarray]:
     """Points and weights on [0, 1], exact for polynomials of degree ``features - 1``."""
-    at, weight = np.polynomial.legendre.leggauss((features + 1) // 2)
-    return (at + 1) / 2, weight / 2
+    if features not in _points:
+        at, weight = np.polynomial.legendre.leggauss((features + 1) // 2)
+        _points[features] = (at + 1) / 2, weight / 2
+    return _points[features]
 
 
 def product_game(inside: np.ndarray, outside: np.ndarray) -> np.ndarray:
@@ -170,12 +173,11 @@ def blocks(batches, most_nodes: int):
 def background_counts(background: DataFrame, ensemble: Ensemble) -> list[np.ndarray]:
     """Rows of ``background`` (x array<double>) that pass each node of each tree: one
     sum per node and task is shuffled."""
-    shared = background.sparkSession.sparkContext.broadcast(ensemble)
 
     def run(batches):
-        trees = shared.value.trees
+        trees = ensemble.trees  # travels with the code, so workers need no copy of this library
         counts = [np.zeros(len(t.feature), np.int64) for t in trees]
-        for _, x in blocks(batches, shared.value.most_nodes):
+        for _, x in blocks(batches, ensemble.most_nodes):
             for tree, count in zip(trees, counts):
                 count += tree.rows_at(x)
         flat = np.concatenate([*counts, np.zeros(0, np.int64)])
@@ -200,13 +202,11 @@ def attributed(rows: DataFrame, background: DataFrame, ensemble: Ensemble, keys:
     counts = background_counts(background, ensemble)
     leaves = [leaves_of(t, c) for t, c in zip(ensemble.trees, counts)]
     base = ensemble.base + sum(leaf.value * float(np.prod(leaf.shares)) for tree in leaves for leaf in tree)
-    shared = rows.sparkSession.sparkContext.broadcast((ensemble, leaves))
 
     def run(batches):
-        held, paths = shared.value
-        for named, x in blocks(batches, held.most_nodes):
-            out, total = np.zeros(x.shape), np.full(len(x), held.base)
-            for tree, own in zip(held.trees, paths):
+        for named, x in blocks(batches, ensemble.most_nodes):
+            out, total = np.zeros(x.shape), np.full(len(x), ensemble.base)
+            for tree, own in zip(ensemble.trees, leaves):
                 attribute(tree, own, x, out, total)
             offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
             yield pa.RecordBatch.from_arrays([*named, pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel())), pa.array(total)], [*keys, "_phi", "score"])

@@ -24,6 +24,7 @@ from weekgrid.session import stored
 
 BINS, ACCURACY = 255, 10_000
 STORE_EVERY = 8  # trees between two tables of scores
+TASK_ROWS = 20_000  # at least, as a pass over fewer is mostly the start of its tasks
 
 
 @dataclass
@@ -240,8 +241,8 @@ class Booster:
         self.growth, self.rounds, self.leaves, self.depth = growth, rounds, leaves, depth
         self.rate, self.min_rows, self.l2 = rate, min_rows, l2
         arrays = rows.select(vector_to_array("features").alias("x"), F.col("label").cast("double").alias("y"))
-        facts = arrays.agg(F.max(F.size("x")).alias("d"), F.avg("y").alias("mean")).first()
-        self.d, self.base = facts["d"] or 0, facts["mean"] or 0.0
+        facts = arrays.agg(F.max(F.size("x")).alias("d"), F.avg("y").alias("mean"), F.count(F.lit(1)).alias("n")).first()
+        self.d, self.base, self.tasks = facts["d"] or 0, facts["mean"] or 0.0, -(-facts["n"] // TASK_ROWS) or 1
         self.edges = bin_edges(arrays, self.d, bins)
         self.bins = max((len(e) for e in self.edges), default=0) + 1
         kind = np.uint8 if self.bins <= 256 else np.uint16
@@ -256,17 +257,18 @@ class Booster:
 
         self.kind = kind
         self.trees: list[Tree] = []
+        self.before = None
         self.keep(arrays.mapInArrow(binned, BLOCK) if d else arrays.sparkSession.createDataFrame([], BLOCK))
 
     def keep(self, blocks: DataFrame) -> None:
         """Writes the blocks, with the scores of the trees so far, for the next passes."""
         kind, d = self.kind, self.d
-        self.rows, self.done = stored(blocks, "binned"), len(self.trees)
+        self.rows, self.done, self.written = stored(blocks.coalesce(self.tasks), "binned"), len(self.trees), len(self.trees)
 
         def read(row):
             return np.frombuffer(bytes(row[0]), kind).reshape(d, -1), np.frombuffer(bytes(row[1])), np.frombuffer(bytes(row[2]))
 
-        self.blocks = self.rows.rdd.map(read).persist(StorageLevel.MEMORY_AND_DISK)
+        self.blocks = self.rows.rdd.coalesce(self.tasks).map(read).persist(StorageLevel.MEMORY_AND_DISK)
 
     def store_scores(self) -> None:
         late, before = self.trees[self.done :], self.blocks
@@ -278,29 +280,46 @@ class Booster:
         self.keep(self.rows.sparkSession.createDataFrame(before.map(run), BLOCK, verifySchema=False))
         before.unpersist()
 
+    def advance(self) -> None:
+        """Adds the trees since the last call to the persisted scores, in the next pass;
+        the blocks before are let go when that is done."""
+        late = self.trees[self.done :]
+
+        def run(block):
+            codes, y, score = block
+            return codes, y, scored(late, codes, score)
+
+        self.before, self.blocks = self.blocks, self.blocks.map(run).persist(StorageLevel.MEMORY_AND_DISK)
+        self.done = len(self.trees)
+
     def histograms(self, tree: Tree, wanted: list[int]) -> dict[int, np.ndarray]:
         """Sums of gradients and rows by feature and bin, for the wanted nodes of ``tree``."""
-        late, d, bins = self.trees[self.done :], self.d, self.bins
+        if self.done < len(self.trees):
+            self.advance()
+        d, bins = self.d, self.bins
 
         def add(cells, block):
             codes, y, score = block
-            gradient = scored(late, codes, score) - y
-            cells = np.zeros((len(wanted), d, bins, 2)) if cells is None else cells
+            cells = np.zeros((2, d, len(wanted), bins)) if cells is None else cells
             rows = tree.rows_by_leaf(codes)
-            for own, node in zip(cells, wanted):
-                here = rows[node]
-                g = gradient[here]
-                for f in range(d):
-                    code = codes[f, here]
-                    own[f, :, 0] += np.bincount(code, g, bins)
-                    own[f, :, 1] += np.bincount(code, minlength=bins)
+            here = np.concatenate([rows[node] for node in wanted])
+            first = np.repeat(np.arange(len(wanted)) * bins, [len(rows[node]) for node in wanted])
+            gradient = score[here] - y[here]
+            for f in range(d):
+                at = first + codes[f, here]
+                cells[0, f] += np.bincount(at, gradient, cells[0, f].size).reshape(-1, bins)
+                cells[1, f] += np.bincount(at, minlength=cells[1, f].size).reshape(-1, bins)
             return cells
 
         def merge(a, b):
             return b if a is None else a if b is None else a + b
 
         cells = self.blocks.treeAggregate(None, add, merge)
-        return dict(zip(wanted, np.zeros((len(wanted), d, bins, 2)) if cells is None else cells))
+        if self.before is not None:
+            self.before.unpersist()
+            self.before = None
+        cells = np.zeros((2, d, len(wanted), bins)) if cells is None else cells
+        return dict(zip(wanted, np.ascontiguousarray(cells.transpose(2, 1, 3, 0))))
 
     def worth(self, g, n):
         return g * g / np.maximum(n + self.l2, 1e-12)
@@ -362,7 +381,8 @@ class Booster:
     def grow_by_leaf(self, root: Leaf) -> Tree:
         """Best-first growth. A pass counts the children of all leaves that may still be
         split, before it is known which will be: a leaf's gain does not depend on the
-        other leaves, so the tree is that of splitting one at a time."""
+        other leaves, so the tree is that of splitting one at a time. Children not yet
+        known can only take the place of others, so no leaf that will be split is left out."""
         draft = Tree()
 
         def drawn(x: Leaf) -> None:
@@ -376,21 +396,20 @@ class Booster:
 
         drawn(root)  # what the tree before has left known
         while True:
-            # Replay the best-first order as far as the known children allow.
-            tree, open_ = Tree(), [(root, 0)]
-            while len(open_) < self.leaves:
-                at = max(range(len(open_)), key=lambda i: (open_[i][0].gain, -open_[i][1]))
-                best, node = open_[at]
-                if best.gain <= 0 or not best.children:
+            # Replay the best-first order; a leaf whose children are not known counts as split.
+            tree, open_, ahead = Tree(), [(root, 0)], []
+            for _ in range(self.leaves - 1):
+                at = max(range(len(open_)), key=lambda i: (open_[i][0].gain, -open_[i][1]), default=None)
+                if at is None or open_[at][0].gain <= 0:
                     break
-                del open_[at]
-                self.cut(tree, node, best.feature, best.bin)
-                open_ += zip(best.children, (tree.left[node], tree.right[node]))
-            ahead = [x for x, _ in open_ if x.gain > 0 and not x.children]
-            if len(open_) >= self.leaves or not ahead:
+                best, node = open_.pop(at)
+                if best.children:
+                    self.cut(tree, node, best.feature, best.bin)
+                    open_ += zip(best.children, (tree.left[node], tree.right[node]))
+                else:
+                    ahead.append(best)
+            if not ahead:
                 break
-            room = self.leaves - len(open_)
-            ahead = sorted(ahead, key=lambda x: (-x.gain, x.node))[:room]
             for x in ahead:
                 self.cut(draft, x.node, x.feature, x.bin)
             self.halves(draft, ahead)
@@ -428,7 +447,7 @@ class Booster:
         rounds = self.rounds if self.d else 0
         root = self.leaf(self.histograms(Tree(), [0])[0]) if rounds else None
         for _ in range(rounds):
-            if len(self.trees) - self.done >= STORE_EVERY:
+            if len(self.trees) - self.written >= STORE_EVERY:
                 self.store_scores()
             self.trees.append(self.grow_by_leaf(root) if self.growth == "leaf" else self.grow_symmetric(root))
             root = self.moved(root)
