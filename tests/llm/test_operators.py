@@ -14,7 +14,7 @@ import tiktoken
 import tokenizers
 from pyspark.sql import functions as F
 
-from weekgrid.llm import bpe_tree, chat, embeddings, jaccard, language, packing, pieces, secret_scan, substrings, winnowing
+from weekgrid.llm import bpe_tree, chat, components, embeddings, jaccard, language, packing, pieces, secret_scan, substrings, winnowing
 
 rng = np.random.default_rng(3)
 VOCABULARY = ["of", "the", "and"] + ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
@@ -319,3 +319,19 @@ def test_packing_gives_easy_words_to_the_model():
     encoder.core = types.SimpleNamespace(model=encoder.core.model)  # no text stages
     ids, ends = encoder.learn([w.encode() for w in easy])
     assert [part.tolist() for part in np.split(ids, ends[:-1])] == want
+
+
+def test_components_write_few_files(spark):
+    """Small edge tables are not spread over as many files as there are shuffle partitions."""
+    keys = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    held = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        chains = spark.range(600).where("id % 6 > 0").selectExpr("id AS a", "id - 1 AS b")
+        found = components.components(chains)
+        assert len(found.inputFiles()) <= 2
+        assert {r["node"]: r["component"] for r in found.collect()} == {i: i - i % 6 for i in range(600)}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from weekgrid.llm.common import stored, tidy
 
+EDGES = 50_000  # a task's share of a small table
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Every node hands its smallest neighbour (or itself) to its larger, or its
@@ -34,13 +36,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def digest(df):
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
+    def dealt(df):
+        # As many tasks as the last count of edges needs: each writes a file, and for a
+        # file on a local disk an executor starts processes of its own size.
+        return df.coalesce(max(1, -(-before[0] // EDGES)))
+
     before = digest(now)
     while True:
-        now = stored(_star(_star(now, True), False), "stars")
+        now = stored(dealt(_star(_star(now, True), False)), "stars")
         after = digest(now)
         if after == before:
             break
         before = after
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return dealt(now.select(F.col("a").alias("node"), F.col("b").alias("component"))).unionByName(
+        dealt(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
     )
