@@ -14,7 +14,7 @@ import tiktoken
 import tokenizers
 from pyspark.sql import functions as F
 
-from weekgrid.llm import bpe_tree, chat, components, embeddings, jaccard, language, packing, pieces, secret_scan, substrings, winnowing
+from weekgrid.llm import bpe_tree, chat, common, components, embeddings, jaccard, language, packing, pieces, secret_scan, substrings, winnowing
 
 rng = np.random.default_rng(3)
 VOCABULARY = ["of", "the", "and"] + ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
@@ -107,6 +107,35 @@ def test_jaccard_chain_that_drifts_from_its_pivot(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == dict.fromkeys(range(16), 0)
 
 
+def test_jaccard_holds_little_text_at_once(spark, tmp_path, monkeypatch):
+    """Neither the batches that workers get nor the texts they hash at once grow with the rows of a partition."""
+    noted = f"{tmp_path}/noted"
+
+    def reading(batches, size=common.CHUNK_BYTES):
+        def passed():
+            for batch in batches:
+                with open(noted, "a") as f:
+                    f.write(f"batch {batch.nbytes}\n")
+                yield batch
+
+        for columns, texts in common.rows_of(passed(), size):
+            with open(noted, "a") as f:
+                f.write(f"chunk {sum(map(len, texts))}\n")
+            yield columns, texts
+
+    monkeypatch.setattr(jaccard, "rows_of", reading)
+    words = F.concat_ws(" ", F.sequence(F.col("id") * 200, F.col("id") * 200 + 199))
+    rows = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), words.alias("text"))
+    before = spark.conf.get(common.BATCH)
+    assert jaccard.jaccard_join(rows).where("component_id = doc_id").count() == 4000
+    assert spark.conf.get(common.BATCH) == before
+    with open(noted) as f:
+        sizes = [(kind, int(n)) for kind, n in map(str.split, f)]
+    chunks = [n for kind, n in sizes if kind == "chunk"]
+    assert sum(chunks) > 2 * 5_000_000 and max(chunks) <= 250_000
+    assert max(n for kind, n in sizes if kind == "batch") < 2_200_000
+
+
 def test_byte_bpe(docs):
     with open(bpe_tree.VOCABULARY, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from weekgrid.llm.common import rows_of, stored, table, tidy
+from weekgrid.llm.common import in_batches, rows_of, stored, table, tidy
 from weekgrid.llm.components import components
 from weekgrid.llm.shingles import shingle_sets
 from weekgrid.llm.words import mix
@@ -27,6 +27,7 @@ SAMPLE, HOT_IN_SAMPLE, HOT = 16, 3, 200_000
 LEAF, ROUNDS = 128, 3
 BACK, BITMAP = 3, 4
 PLACES = 1 << 20
+BATCH, READ, CHUNK = "2m", 512, 250_000  # bytes a worker gets, rows read, and bytes of text hashed at once
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
@@ -34,7 +35,7 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     ``SAMPLE``, chosen by digest, its hashes."""
 
     def run(batches):
-        for (doc_id,), texts in rows_of(batches):
+        for (doc_id,), texts in rows_of(batches, CHUNK):
             text, value = shingle_sets(texts, words)
             n = np.bincount(text, minlength=len(texts))
             digests = []
@@ -63,7 +64,7 @@ def prefixes(docs: DataFrame, hot: np.ndarray, words: int, percent: int, key_onl
 
     def run(batches):
         frequent = shared.value
-        for (doc_id,), texts in rows_of(batches):
+        for (doc_id,), texts in rows_of(batches, CHUNK):
             text, value = shingle_sets(texts, words)
             n = np.bincount(text, minlength=len(texts))
             length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
@@ -103,7 +104,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Adds ``shared``, the exact intersection size, to pairs (a, b), a stored table."""
 
     def run(batches):
-        for (a, b, other), texts_b in rows_of(batches):
+        for (a, b, other), texts_b in rows_of(batches, CHUNK):
             n = len(texts_b)
             text, value = shingle_sets([t.as_py() for t in other.cast(pa.large_binary())] + texts_b, words)
             bounds = np.searchsorted(text, np.arange(2 * n + 1))
@@ -137,6 +138,7 @@ def signed(rows: DataFrame) -> DataFrame:
 
 
 @tidy
+@in_batches(BATCH, READ)
 def jaccard_join(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF, rounds: int = ROUNDS,
     id_col: str = "doc_id", text_col: str = "text",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from weekgrid.llm.common import cached, rows_of, table
 
 PROFILE = 300
-CHUNK = 500_000  # bytes of text whose n-grams are held at once
+CHUNK = 250_000  # bytes of text whose n-grams are held at once
 EDGE = 1  # stands for the start or end of a word; letters have larger numbers
 
 
