@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekgrid.operators import anomaly, explain, forecast, kpi, segments
+from weekgrid.plans import models
 
 
 def toy(spark, n=240):
@@ -116,6 +117,50 @@ def test_no_champion_without_a_run_below_the_limit(spark):
     assert {"wmape", "r2", "run_id", "latency_ms", "pass_latency", "promoted"} <= set(gates.columns)
 
 
+def test_registered_search_and_champion_use_the_whole_space(spark, monkeypatch):
+    """Draws, the last fit and the refit have the numbers of trees of the default space."""
+    df, fits, refits = toy(spark, 12), [], []
+
+    class Matrix:
+        def __init__(self, *_):
+            pass
+
+        def fit(self, drawn, rounds):
+            fits.append((drawn, rounds))
+            return drawn
+
+        def metrics(self, drawn):
+            return {"wmape": 1.0 / drawn[0], "mae": 1.0, "rmse": 1.0, "r2": 0.0}
+
+        def whole(self, drawn):
+            return drawn
+
+    def refit(train, test, model_type, params):
+        refits.append(params["maxIter"])
+        return None, forecast.forecast_metrics(test, predicted="weekly_sales")
+
+    monkeypatch.setattr(forecast, "SharedMatrix", Matrix)
+    monkeypatch.setattr(forecast, "measured", lambda model, df: (1.0, 1.0))
+    monkeypatch.setattr(forecast, "fit_evaluate", refit)
+    monkeypatch.setattr(models, "parts", lambda spark, sf_dir: (df, df, df))
+    monkeypatch.setattr(models, "_once", lambda spark, sf_dir, name, make: make())
+    runs = models.hyperparam_search(spark, "").toPandas()
+    assert {drawn for drawn, _ in fits} == set(forecast.draw_params(4, 42, forecast.SPACE))
+    assert runs["n_estimators"].between(*forecast.SPACE["trees"]).all() and runs["trees_fitted"].max() == runs["n_estimators"].max()
+    assert models.champion_gates(spark, "").count() == 1 and refits == [runs["n_estimators"].max()]
+
+
+def test_boosting_has_a_folder_for_its_checkpoints(spark, monkeypatch):
+    """Without one some hundred rounds overflow the stack."""
+    named = []
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: named[-1] if named else None)
+    monkeypatch.setattr(type(spark.sparkContext), "setCheckpointDir", lambda self, path: named.append(path))
+    df = toy(spark, 40).where("x IS NOT NULL")
+    for _ in range(2):
+        forecast.fit(df, "boosting", {"maxIter": 1, "maxDepth": 1}, NUM, CAT)
+    assert len(named) == 1 and "checkpoints" in named[0]
+
+
 def test_attributions(spark):
     df = toy(spark).where("x IS NOT NULL")
     model = forecast.fit(df, "random_forest", {"numTrees": 10, "maxDepth": 6}, NUM, CAT)

@@ -18,7 +18,7 @@ from weekgrid.operators import boosting
 from weekgrid.operators.gold import CATEGORICAL, NUMERIC, with_calendar
 from weekgrid.operators.metrics import forecast_metrics, quality_gates, select_candidate
 from weekgrid.operators.prep import fit_features
-from weekgrid.session import scratch_path, stored
+from weekgrid.session import bound_lineage, scratch_path, stored
 
 TARGET = "weekly_sales"
 ORDER_KEYS = ["store", "dept", "date"]
@@ -43,6 +43,7 @@ def _estimator(model_type: str, train: DataFrame, params: dict, levels: int):
             **common, **{"numTrees": 100, "maxDepth": 15, "seed": 42, **params}
         )
     if model_type == "boosting":
+        bound_lineage(train.sparkSession)
         return GBTRegressor(**common, **{"maxIter": 100, "maxDepth": 6, "seed": 42, **params})
     raise ValueError(f"unknown model type {model_type!r}, expected one of {MODELS}")
 
